@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tallyhouse.catalog import reports
+from tallyhouse.catalog import changes, reports  # noqa: F401
 from tallyhouse.catalog.registry import ORACLES, QUERIES
 
 flagship = reports.flagship

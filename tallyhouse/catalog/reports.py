@@ -325,17 +325,17 @@ def _(spark, folder):
 
 
 _FILM_STOCK = """
-    SELECT inventory_id FROM inventory iv WHERE film_id = 7 AND store_id IN (2, 3)
-      AND store_id = {store} AND {sense} EXISTS (SELECT 1 FROM rental rt
+    SELECT inventory_id FROM inventory iv WHERE film_id IN (2, 7)
+      AND film_id = {film} AND store_id = {store} AND {sense} EXISTS (SELECT 1 FROM rental rt
         WHERE rt.inventory_id = iv.inventory_id AND rt.return_date IS NULL)"""
 
 
-@query("q14_film_in_stock", rental_sql(_FILM_STOCK.format(store=2, sense="NOT"), "inventory", "rental"))
+@query("q14_film_in_stock", rental_sql(_FILM_STOCK.format(film=2, store=2, sense="NOT"), "inventory", "rental"))
 def _(spark, folder):
-    return stock.film_copies(rental_tables(spark, folder), 7, 2)
+    return stock.film_copies(rental_tables(spark, folder), 2, 2)
 
 
-@query("q14_film_not_in_stock", rental_sql(_FILM_STOCK.format(store=3, sense=""), "inventory", "rental"))
+@query("q14_film_not_in_stock", rental_sql(_FILM_STOCK.format(film=7, store=3, sense=""), "inventory", "rental"))
 def _(spark, folder):
     return stock.film_copies(rental_tables(spark, folder), 7, 3, in_stock=False)
 

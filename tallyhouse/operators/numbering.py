@@ -43,10 +43,13 @@ def number_rows(
     )
 
 
+def highest_key(target: DataFrame, key: str) -> int:
+    return int(target.agg(F.coalesce(F.max(key), F.lit(0))).first()[0])
+
+
 def next_keys(
     rows: DataFrame, key: str, target: DataFrame, order_by: Sequence[Column | str]
 ) -> DataFrame:
     """Give ``rows`` new keys that continue after the highest key of ``target``."""
-    highest = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("highest")).first()[0]
-    numbered = number_rows(rows, order_by, name=key, start=int(highest) + 1)
+    numbered = number_rows(rows, order_by, name=key, start=highest_key(target, key) + 1)
     return numbered.withColumn(key, F.col(key).cast(target.schema[key].dataType))
