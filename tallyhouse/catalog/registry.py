@@ -27,25 +27,12 @@ def query(name: str, oracle: str | None = None):
 
 
 def oracle_over(views: Mapping[str, str], body: str, *used: str) -> str:
-    """``body`` with the named views, and the views those read, in front as CTEs."""
-    ordered: list[str] = []
-
-    def visit(name: str) -> None:
-        if name in ordered:
-            return
-        for other in placeholders(views[name]):
-            if other in views and other != name:
-                visit(other)
-        ordered.append(name)
-
-    for name in used:
-        visit(name)
-
+    """``body`` with the named views in front as CTEs."""
     def text(name: str) -> str:
         plain = {other: other for other in placeholders(views[name])}
         return views[name].format(**plain).replace("TIMESTAMP_NTZ", "TIMESTAMP")
 
-    ctes = ",\n".join(f"{name} AS ({text(name)})" for name in ordered)
+    ctes = ",\n".join(f"{name} AS ({text(name)})" for name in used)
     body = body.strip()
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"

@@ -49,7 +49,7 @@ RENTAL_VIEWS = {
                CAST(NULL AS STRING) AS last_name, CAST(s_suppkey % 5 AS INT) AS store_id,
                TIMESTAMP_NTZ '2017-01-01 00:00:00' + s_suppkey * INTERVAL '1' HOUR AS last_update
         FROM {supplier}""",
-    "cust": """
+    "customer": """
         SELECT c_custkey AS customer_id, c_nationkey % 5 AS store_id, c_mktsegment AS first_name,
                c_name AS last_name, lower(c_mktsegment) || '@example.org' AS email, c_nationkey AS address_id,
                c_acctbal >= 0 AS activebool, DATE '2006-02-14' AS create_date, DATE '2006-02-15' AS last_update,
@@ -77,13 +77,5 @@ RENTAL_VIEWS = {
 }
 
 
-class RentalTables(Tables):
-    """``customer`` is the rental customer; it is kept under ``cust`` in the view texts
-    because the Parquet file is already called ``customer``."""
-
-    def __getitem__(self, name: str):
-        return super().__getitem__("cust" if name == "customer" else name)
-
-
-def rental_tables(spark: SparkSession, folder: str) -> RentalTables:
-    return RentalTables(spark, folder, RENTAL_VIEWS)
+def rental_tables(spark: SparkSession, folder: str) -> Tables:
+    return Tables(spark, folder, RENTAL_VIEWS)

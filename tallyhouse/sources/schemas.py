@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
@@ -26,9 +27,15 @@ class TableDef:
     checks: Mapping[str, str] = field(default_factory=dict)
     defaults: Mapping[str, object] = field(default_factory=dict)
 
+    @property
+    def lengths(self) -> dict[str, int]:
+        """Columns with a declared maximum length."""
+        return {name: int(size) for name, size in re.findall(r"(\w+) VARCHAR\((\d+)\)", self.columns)}
+
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.columns)
+        """Column types; text is a plain string here and its length is a rule."""
+        return T.StructType.fromDDL(re.sub(r"VARCHAR\(\d+\)", "STRING", self.columns))
 
     def empty(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], self.schema)
@@ -55,9 +62,5 @@ def rules_of(definitions: Iterable[TableDef]) -> Iterator[Rule]:
             yield quality.not_null(d.name, column)
         for name, predicate in d.checks.items():
             yield quality.check(d.name, name, predicate)
-        for column in d.schema:
-            if isinstance(column.dataType, T.VarcharType):
-                limit = column.dataType.length
-                yield quality.check(
-                    d.name, f"{column.name} at most {limit} characters", f"length({column.name}) <= {limit}"
-                )
+        for column, limit in d.lengths.items():
+            yield quality.check(d.name, f"{column} at most {limit} characters", f"length({column}) <= {limit}")

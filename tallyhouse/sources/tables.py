@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 class Tables(Mapping):
     """Read-only name → DataFrame mapping over a folder of Parquet files.
 
-    ``views`` maps a name to one SELECT whose ``{other}`` placeholders are further
-    names of this mapping. A view wins over a file of the same name, except inside
-    its own text, where the name means the file.
+    ``views`` maps a name to one SELECT over files, named by ``{file}`` placeholders.
+    A view hides the file of the same name from users of the mapping.
     """
 
     def __init__(self, spark: SparkSession, folder: str, views: Mapping[str, str] | None = None):
@@ -32,11 +31,7 @@ class Tables(Mapping):
 
     def _build(self, name: str) -> DataFrame:
         text = self.views[name]
-        inputs = {
-            used: self[used] if used in self.views and used != name else self.file(used)
-            for used in placeholders(text)
-        }
-        return self.spark.sql(text, **inputs)
+        return self.spark.sql(text, **{used: self.file(used) for used in placeholders(text)})
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.views)
