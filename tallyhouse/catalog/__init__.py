@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tallyhouse.catalog import changes, collections, primitives, reports  # noqa: F401
+from tallyhouse.catalog import changes, collections, primitives, reports, rows  # noqa: F401
 from tallyhouse.catalog.registry import ORACLES, QUERIES
 
 flagship = reports.flagship
