@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections import ChainMap
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.sources.files import FILES
+
 
 class Tables(Mapping):
     """Read-only name → DataFrame mapping over a folder of Parquet files.
@@ -22,7 +25,10 @@ class Tables(Mapping):
         self._built: dict[str, DataFrame] = {}
 
     def file(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read
+        if name in FILES:
+            reader = reader.schema(FILES[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -44,6 +50,6 @@ def placeholders(text: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
 
 
-def with_tables(base: Mapping[str, DataFrame], **changed: DataFrame) -> dict[str, DataFrame]:
-    """A plain dict of ``base`` with some tables replaced."""
-    return {**{name: base[name] for name in base}, **changed}
+def with_tables(base: Mapping[str, DataFrame], **changed: DataFrame) -> Mapping[str, DataFrame]:
+    """``base`` with some tables replaced; the others are still built on first use."""
+    return ChainMap(changed, base)
