@@ -27,6 +27,7 @@ def _(spark, folder):
 @query("s02_view_scan", rental_sql(
     "SELECT staff_id, CAST(sum(amount) AS DECIMAL(18,2)) AS taken FROM payment GROUP BY staff_id", "payment"))
 def _(spark, folder):
+    spark = spark.newSession()
     t = rental_tables(spark, folder)
     t["payment"].groupBy("staff_id").agg(total("amount").alias("taken")).createOrReplaceTempView("staff_takings")
     return spark.table("staff_takings")
@@ -617,6 +618,7 @@ def _(spark, folder):
 @query("a15_string_aggregate", """
     SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY o_custkey""")
 def _(spark, folder):
+    spark = spark.newSession()
     # Values are made distinct first, so one key's list is as long as the value set, not the group.
     pairs = rental_tables(spark, folder).file("orders").select("o_custkey", "o_orderpriority").distinct()
     pairs.createOrReplaceTempView("order_priorities")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.session import shared_folder
 
+_TIE = "_tie"
 _SLOT = "_slot"
 _PART = "_part"
 _BEFORE = "_before"
@@ -25,10 +26,16 @@ def number_rows(
     executor cannot change which partition a row sits in. Each row's number is then its
     place in its partition plus the sizes of the earlier partitions. Only that table of
     sizes (one row per partition, whatever the data volume) is gathered and broadcast.
-    ``order_by`` should end in a unique column.
+    Rows that tie are numbered in any order; a tie-break column spreads them over partitions,
+    so that many equal rows do not meet in one task.
     """
     shared_folder(df.sparkSession)
-    placed = df.orderBy(*order_by).withColumn(_SLOT, F.monotonically_increasing_id()).checkpoint()
+    placed = (
+        df.withColumn(_TIE, F.monotonically_increasing_id())
+        .orderBy(*order_by, _TIE)
+        .select(*df.columns, F.monotonically_increasing_id().alias(_SLOT))
+        .checkpoint()
+    )
     part = F.shiftright(F.col(_SLOT), _ROW_BITS)
     row = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)

@@ -24,17 +24,17 @@ def append_rows(spark: SparkSession, path: str, rows: DataFrame) -> None:
 def create_month_partitions(df: DataFrame, time_column: str, label: str, month_column: str = "pay_month") -> DataFrame:
     """Write one directory per calendar month so that date filters prune whole directories.
 
-    Rows go through a shuffle on (month, spread): a month holding a third of all rows
-    is still written by many tasks, and a task writes few files.
+    Rows are rebalanced by month: at run time small months share a task, and a month that holds
+    a third of all rows is split over as many tasks as its size asks for.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    month = F.date_format(F.col(time_column), "yyyy-MM")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
     (
-        df.withColumn(month_column, month)
-        .repartition(F.col(month_column), spread)
+        df.withColumn(month_column, F.date_format(F.col(time_column), "yyyy-MM"))
+        .hint("rebalance", F.col(month_column))
         .write.partitionBy(month_column)
         .parquet(path)
     )
-    return spark.read.parquet(path).withColumn(month_column, F.col(month_column).cast("string"))
+    # The declared schema keeps the month a string; inference would make it a number or a date.
+    fields = df.schema.add(month_column, "string")
+    return spark.read.schema(fields).parquet(path)
