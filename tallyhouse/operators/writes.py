@@ -92,7 +92,7 @@ def insert_unless_conflict(
 ) -> Change:
     """Append ``rows`` in ``order_by`` order, skipping each row that shares a declared unique
     key with ``target`` or with a row already taken. NULL key parts never conflict. Without a
-    declared key nothing conflicts. ``order_by`` must tell the rows apart."""
+    declared key nothing conflicts. Rows that tie in ``order_by`` are taken in any order."""
     pending = reduce(lambda left, columns: without_present(left, target, columns), unique, rows)
     if len(unique) == 1:
         pending = _first_of_each(pending, unique[0], order_by)
@@ -122,8 +122,8 @@ def _take_in_order(
     the rest go on. Every round takes at least one row; a chain of conflicts sets the number of rounds.
     """
     shared_folder(rows.sparkSession)
-    place = F.struct(*[F.col(c) for c in order_by])
-    pending, taken = rows.checkpoint(), []
+    place = F.struct(*[F.col(c) for c in order_by], F.col("_at"))
+    pending, taken = rows.withColumn("_at", F.monotonically_increasing_id()).checkpoint(), []
     while not pending.isEmpty():
         ranked = pending.withColumn("_place", place)
         for number, columns in enumerate(unique):
@@ -140,12 +140,12 @@ def _take_in_order(
                 for n in range(len(unique))
             ],
         )
-        judged = ranked.select(*rows.columns, leads.alias("_leads")).checkpoint()
+        judged = ranked.select(*pending.columns, leads.alias("_leads")).checkpoint()
         leaders = judged.where("_leads").drop("_leads")
         taken.append(leaders)
         rest = judged.where("NOT _leads").drop("_leads")
         pending = reduce(lambda left, columns: without_present(left, leaders, columns), unique, rest).checkpoint()
-    return reduce(DataFrame.unionByName, taken) if taken else rows.limit(0)
+    return reduce(DataFrame.unionByName, taken).select(*rows.columns) if taken else rows.limit(0)
 
 
 def resolve_name(

@@ -94,7 +94,7 @@ _CUSTOMER = ByName("customer_type", "customer_id", "customer", "type")
 _TICKET_TYPE = ByName("ticket_type_name", "ticket_type_id", "ticket_type", "name")
 
 TRANSIT_STEPS = (
-    LoadStep("repair_status_code", ("id",)),
+    LoadStep("repair_status_code", ("id", "name")),
     LoadStep("route", ("name",)),
     LoadStep("station", ("source_key",)),
     LoadStep("train", ("source_key",), (_ROUTE,)),
