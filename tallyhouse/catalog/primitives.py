@@ -353,12 +353,15 @@ def _(spark, folder):
 
 
 @query("j08_join_on_constant", rental_sql("""
-    SELECT actor_id, film_id FROM actor JOIN film ON title = 'red widget' WHERE last_name = 'N3'""", "actor", "film"))
+    SELECT actor_id, film_id FROM actor JOIN film ON title = 'red widget'
+    WHERE first_name IN ('Supplier#000000002', 'Supplier#000000005')""", "actor", "film"))
 def _(spark, folder):
     t = rental_tables(spark, folder)
-    # The constant becomes the key of a cast list, which both sides join by equality.
-    cast = t["actor"].where(F.col("last_name") == "N3").select("actor_id", F.lit("red widget").alias("title"))
-    return t["film"].where(F.col("title") == "red widget").join(cast, "title").select("actor_id", "film_id")
+    # The constants become a cast list, which both sides join by equality.
+    cast = spark.createDataFrame(
+        [("red widget", "Supplier#000000002"), ("red widget", "Supplier#000000005")], "title string, first_name string"
+    )
+    return t["film"].join(cast, "title").join(t["actor"], "first_name").select("actor_id", "film_id")
 
 
 @query("j09_one_customer_with_every_copy", rental_sql("""

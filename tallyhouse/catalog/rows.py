@@ -295,7 +295,7 @@ def _(spark, folder):
         FROM inventory""")
 
 
-@query("u4_customer_balance_function", rental_sql("""
+_BALANCES = """
     WITH owed AS (
         SELECT rt.customer_id, sum(fl.rental_rate + CAST(CASE
                  WHEN epoch(return_date) - epoch(rental_date) > 2 * rental_duration * 86400 THEN replacement_cost
@@ -303,13 +303,24 @@ def _(spark, folder):
                  THEN floor((epoch(return_date) - epoch(rental_date)) / 86400 - rental_duration) ELSE 0 END AS DECIMAL(12,2))) AS amount
         FROM rental rt JOIN inventory USING (inventory_id) JOIN film fl USING (film_id)
         WHERE rental_date <= TIMESTAMP '1998-12-31 00:00:00' GROUP BY rt.customer_id),
-    paid AS (SELECT customer_id, sum(amount) AS amount FROM payment WHERE payment_date <= TIMESTAMP '1998-12-31 00:00:00' GROUP BY customer_id)
-    SELECT customer_id, CAST(coalesce(owed.amount, 0) - coalesce(paid.amount, 0) AS DECIMAL(18,2)) AS balance
-    FROM cust LEFT JOIN owed USING (customer_id) LEFT JOIN paid USING (customer_id)""", "rental", "inventory", "film", "payment", "cust"))
+    paid AS (SELECT customer_id, sum(amount) AS amount FROM payment WHERE payment_date <= TIMESTAMP '1998-12-31 00:00:00' GROUP BY customer_id),
+    every AS (SELECT customer_id, CAST(coalesce(owed.amount, 0) - coalesce(paid.amount, 0) AS DECIMAL(18,2)) AS balance
+              FROM cust LEFT JOIN owed USING (customer_id) LEFT JOIN paid USING (customer_id))
+    SELECT {columns} FROM every"""
+_BALANCE_VIEWS = ("rental", "inventory", "film", "payment", "cust")
+
+
+@query("u4_customer_balances_function", rental_sql(_BALANCES.format(columns="customer_id, balance"), *_BALANCE_VIEWS))
 def _(spark, folder):
-    spark = published(spark, folder)
-    return spark.sql("""
-        SELECT customer_id, get_customer_balance(customer_id, TIMESTAMP_NTZ '1998-12-31 00:00:00') AS balance FROM customer""")
+    return published(spark, folder).sql("SELECT * FROM customer_balances(TIMESTAMP_NTZ '1998-12-31 00:00:00')")
+
+
+@query("u4_one_customer_balance_function", rental_sql(
+    _BALANCES.format(columns="balance") + " WHERE customer_id = 77", *_BALANCE_VIEWS))
+def _(spark, folder):
+    return published(spark, folder).sql(
+        "SELECT balance FROM customer_balances(TIMESTAMP_NTZ '1998-12-31 00:00:00') WHERE customer_id = 77"
+    )
 
 
 @query("u5_immutable_function", "SELECT l_orderkey, l_linenumber, l_partkey, last_day(CAST(l_shipdate AS DATE)) AS month_end FROM lineitem")

@@ -117,13 +117,14 @@ TRANSIT_VIEWS = {
                CASE WHEN n_nationkey % 6 <> 5 THEN {_CODE} ELSE 'OFF' END AS repair_status_code_id
         FROM {{nation}} JOIN {{region}} ON r_regionkey = n_regionkey""",
     "station": """
-        SELECT s_suppkey AS id, 'Stop ' || CAST(s_suppkey % 90 AS STRING) AS name, 'AFR' AS repair_status_code_id,
+        SELECT s_suppkey AS id, 'Stop ' || CAST(s_suppkey % 90 AS STRING) AS name,
+               CASE s_nationkey % 3 WHEN 0 THEN 'AFR' WHEN 1 THEN 'EUR' ELSE 'OFF' END AS repair_status_code_id,
                20 AS required_number_of_employees, s_nationkey AS current_number_of_employees
         FROM {supplier}""",
     "train": """
         SELECT p_partkey AS id, CASE WHEN p_size <> 50 THEN CAST(p_size % 27 AS BIGINT) END AS route_id,
-               21600 + p_size AS schedule_start, 82800 AS schedule_end, 'ASI' AS repair_status_code,
-               3 AS required_number_of_employees, CAST(NULL AS INT) AS current_number_of_employees
+               21600 + p_size AS schedule_start, 82800 AS schedule_end,
+               CASE WHEN p_size < 25 THEN 'ASI' ELSE 'AME' END AS repair_status_code, 3 AS required_number_of_employees, CAST(NULL AS INT) AS current_number_of_employees
         FROM {part}""",
     "line": "SELECT l_suppkey % 25 AS route_id, l_suppkey AS station_id FROM {lineitem}",
     "operating_frequency": """
