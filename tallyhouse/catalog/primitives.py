@@ -77,14 +77,18 @@ def _(spark, folder):
     return sinks.create_table_as(payments, "payment-copy").where(F.col("amount") > 100000)
 
 
-@query("s08_append_rows", rental_sql("""
-    SELECT staff_id, count(*) AS payments FROM payment WHERE staff_id < 10 OR staff_id >= 20 GROUP BY staff_id""", "payment"))
+@query("s08_append_rows", rental_sql(
+    "SELECT staff_id, count(*) AS payments, max(payment_date) AS latest FROM payment GROUP BY staff_id", "payment"))
 def _(spark, folder):
-    payments = rental_tables(spark, folder)["payment"].select("payment_id", "staff_id")
+    payments = rental_tables(spark, folder)["payment"].select("payment_id", "staff_id", "payment_date")
+    early = F.col("payment_date") < instant(payments, "payment_date", "1998-01-01")
     path = fresh_path(spark, "payment-append")
-    sinks.append_rows(spark, path, payments.where("staff_id < 10"))
-    sinks.append_rows(spark, path, payments.where("staff_id >= 20"))
-    return spark.read.parquet(path).groupBy("staff_id").agg(F.count(F.lit(1)).alias("payments"))
+    sinks.append_rows(spark, path, payments.where(early))
+    sinks.append_rows(spark, path, payments.where(~early))
+    return (
+        spark.read.schema(payments.schema).parquet(path).groupBy("staff_id")
+        .agg(F.count(F.lit(1)).alias("payments"), F.max("payment_date").alias("latest"))
+    )
 
 
 @query("s09_month_partitions", rental_sql("""

@@ -134,7 +134,7 @@ TRANSIT_VIEWS = {
     "employee": """
         SELECT c_custkey AS id, c_name AS first_name, CAST(NULL AS STRING) AS middle_name, c_mktsegment AS surname,
                'P' || CAST(c_custkey - c_custkey % 2 * (c_custkey % 10) AS STRING) AS passport_id,
-               CAST(c_acctbal AS INT) - 200 AS salary, c_custkey % 101 AS station_id,
+               CAST(floor(c_acctbal) AS INT) - 200 AS salary, c_custkey % 101 AS station_id,
                CASE WHEN c_nationkey % 3 = 0 THEN c_custkey * 2 END AS train_id, CAST(NULL AS STRING) AS work_phone,
                CASE WHEN c_nationkey % 2 = 0 THEN c_name || '@transit.example' END AS email
         FROM {customer}""",
