@@ -91,8 +91,8 @@ def load_transit(spark, folder, *only):
 
 
 @query("q34_museum_load_items", museum_load_sql("""
-    WITH kinds AS (SELECT type_name, CAST(row_number() OVER (ORDER BY type_name) AS INT) AS type_id FROM s_type)
-    SELECT CAST(row_number() OVER (ORDER BY source_key) AS INT) AS item_id, item_title, NULL::VARCHAR AS item_description,
+    WITH kinds AS (SELECT type_name, row_number() OVER (ORDER BY type_name) AS type_id FROM s_type)
+    SELECT row_number() OVER (ORDER BY source_key) AS item_id, item_title, NULL::VARCHAR AS item_description,
            NULL::VARCHAR AS item_creation_date, type_id, NULL::VARCHAR AS item_provenance, NULL::DATE AS item_acquisition_date,
            item_value_estimate, FALSE AS item_is_on_display
     FROM s_item LEFT JOIN kinds USING (type_name)""", "s_item", "s_type"))
@@ -102,11 +102,11 @@ def _(spark, folder):
 
 @query("q34_museum_load_inventory", museum_load_sql("""
     WITH items AS (SELECT item_title, min(n) AS item_id FROM
-                     (SELECT item_title, CAST(row_number() OVER (ORDER BY source_key) AS INT) AS n FROM s_item) i GROUP BY item_title),
-         states AS (SELECT status_name, CAST(row_number() OVER (ORDER BY status_name) AS INT) AS status_id
+                     (SELECT item_title, row_number() OVER (ORDER BY source_key) AS n FROM s_item) i GROUP BY item_title),
+         states AS (SELECT status_name, row_number() OVER (ORDER BY status_name) AS status_id
                     FROM (SELECT DISTINCT status_name FROM s_status) d),
-         rooms AS (SELECT storage_room, CAST(row_number() OVER (ORDER BY storage_room, storage_shelf) AS INT) AS storage_id FROM s_storage)
-    SELECT CAST(row_number() OVER (ORDER BY source_key) AS INT) AS inventory_id, item_id, storage_id, 1 AS inventory_quantity,
+         rooms AS (SELECT storage_room, row_number() OVER (ORDER BY storage_room, storage_shelf) AS storage_id FROM s_storage)
+    SELECT row_number() OVER (ORDER BY source_key) AS inventory_id, item_id, storage_id, 1 AS inventory_quantity,
            NULL::VARCHAR AS inventory_condition, NULL::DATE AS inventory_last_checked, status_id
     FROM s_inventory LEFT JOIN items USING (item_title) LEFT JOIN states USING (status_name) LEFT JOIN rooms USING (storage_room)""",
     "s_inventory", "s_item", "s_status", "s_storage"))

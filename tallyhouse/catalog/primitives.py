@@ -25,7 +25,7 @@ def _(spark, folder):
 
 
 @query("s02_view_scan", rental_sql(
-    "SELECT staff_id, CAST(sum(amount) AS DECIMAL(18,2)) AS taken FROM payment GROUP BY staff_id", "payment"))
+    "SELECT staff_id, CAST(sum(amount) AS DECIMAL(38,2)) AS taken FROM payment GROUP BY staff_id", "payment"))
 def _(spark, folder):
     spark = spark.newSession()
     t = rental_tables(spark, folder)
@@ -92,7 +92,7 @@ def _(spark, folder):
 
 
 @query("s09_month_partitions", rental_sql("""
-    SELECT strftime(payment_date, '%Y-%m') AS pay_month, count(*) AS payments, CAST(sum(amount) AS DECIMAL(18,2)) AS revenue
+    SELECT strftime(payment_date, '%Y-%m') AS pay_month, count(*) AS payments, CAST(sum(amount) AS DECIMAL(38,2)) AS revenue
     FROM payment WHERE payment_date >= DATE '1997-01-01' AND payment_date < DATE '1997-07-01' GROUP BY 1""", "payment"))
 def _(spark, folder):
     payments = rental_tables(spark, folder)["payment"]
@@ -418,7 +418,7 @@ def _(spark, folder):
 
 
 @query("j15_correlated_sum", rental_sql("""
-    SELECT staff_id, (SELECT CAST(sum(amount) AS DECIMAL(18,2)) FROM payment py WHERE py.staff_id = sf.staff_id
+    SELECT staff_id, (SELECT CAST(sum(amount) AS DECIMAL(38,2)) FROM payment py WHERE py.staff_id = sf.staff_id
                       AND amount > 499000) AS taken FROM staff sf""", "staff", "payment"))
 def _(spark, folder):
     t = rental_tables(spark, folder)
@@ -485,12 +485,12 @@ def _(spark, folder):
 @query("j22_chained_ctes", rental_sql("""
     WITH per_copy AS (SELECT inventory_id, count(*) AS n FROM rental GROUP BY inventory_id),
          per_film AS (SELECT film_id, CAST(sum(n) AS BIGINT) AS n FROM per_copy JOIN inventory USING (inventory_id) GROUP BY film_id)
-    SELECT title, n AS rentals FROM per_film JOIN film USING (film_id) WHERE n >= 12""", "rental", "inventory", "film"))
+    SELECT title, n AS rentals FROM per_film JOIN film USING (film_id) WHERE n >= 8""", "rental", "inventory", "film"))
 def _(spark, folder):
     t = rental_tables(spark, folder)
     per_copy = t["rental"].groupBy("inventory_id").agg(F.count(F.lit(1)).alias("n"))
     per_film = per_copy.join(t["inventory"], "inventory_id").groupBy("film_id").agg(F.sum("n").alias("rentals"))
-    return per_film.where("rentals >= 12").join(t["film"], "film_id").select("title", "rentals")
+    return per_film.where("rentals >= 8").join(t["film"], "film_id").select("title", "rentals")
 
 
 @query("j23_two_children_of_one_parent", rental_sql("""
@@ -507,7 +507,7 @@ def _(spark, folder):
 # --- aggregation -------------------------------------------------------------------------------
 
 @query("a01_sum", """
-    SELECT o_orderstatus, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS revenue FROM orders GROUP BY 1""")
+    SELECT o_orderstatus, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS revenue FROM orders GROUP BY 1""")
 def _(spark, folder):
     return rental_tables(spark, folder).file("orders").groupBy("o_orderstatus").agg(total("o_totalprice").alias("revenue"))
 
@@ -578,7 +578,7 @@ def _(spark, folder):
 
 
 @query("a10_having_two_conditions", """
-    SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS spent, count(*) AS orders
+    SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS spent, count(*) AS orders
     FROM orders GROUP BY o_custkey HAVING sum(CAST(o_totalprice AS DECIMAL(12,2))) > 3000000 AND count(*) > 12""")
 def _(spark, folder):
     return rental_tables(spark, folder).file("orders").groupBy("o_custkey").agg(
@@ -594,13 +594,13 @@ def _(spark, folder):
 
 
 @query("a12_sum_with_default", rental_sql("""
-    SELECT cu.customer_id, coalesce(CAST(sum(amount) AS DECIMAL(18,2)), 0) AS big_payments
+    SELECT cu.customer_id, coalesce(CAST(sum(amount) AS DECIMAL(38,2)), 0) AS big_payments
     FROM cust cu LEFT JOIN payment py ON py.customer_id = cu.customer_id AND amount > 480000 GROUP BY cu.customer_id""", "cust", "payment"))
 def _(spark, folder):
     t = rental_tables(spark, folder)
     big = t["payment"].where("amount > 480000").groupBy("customer_id").agg(total("amount").alias("s"))
     return t["customer"].select("customer_id").join(big, "customer_id", "left").select(
-        "customer_id", F.coalesce("s", F.lit(0)).cast("decimal(18,2)").alias("big_payments")
+        "customer_id", F.coalesce("s", F.lit(0)).cast("decimal(38,2)").alias("big_payments")
     )
 
 

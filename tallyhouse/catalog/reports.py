@@ -56,7 +56,7 @@ SINCE = "1997-03-31"
 
 _STORE_REVENUE = f"""
     SELECT st.store_id, ad.address || ' ' || coalesce(ad.address2, '') AS full_address,
-           CAST(sum(py.amount) AS DECIMAL(18,2)) AS total_revenue
+           CAST(sum(py.amount) AS DECIMAL(38,2)) AS total_revenue
     FROM store st JOIN address ad USING (address_id)
     {{how}} JOIN staff sf ON sf.store_id = st.store_id
     {{how}} JOIN payment py ON py.staff_id = sf.staff_id AND py.payment_date > TIMESTAMP '{SINCE} 00:00:00'
@@ -84,7 +84,7 @@ def _(spark, folder):
     WITH per_staff AS (SELECT staff_id, sum(amount) AS taken FROM payment
                        WHERE payment_date > TIMESTAMP '{SINCE} 00:00:00' GROUP BY staff_id)
     SELECT store_id, address || ' ' || coalesce(address2, '') AS full_address,
-           CAST(sum(taken) AS DECIMAL(18,2)) AS total_revenue
+           CAST(sum(taken) AS DECIMAL(38,2)) AS total_revenue
     FROM per_staff JOIN staff USING (staff_id) JOIN store USING (store_id) JOIN address USING (address_id)
     GROUP BY ALL""", *_STORE_VIEWS))
 def flagship(spark, folder):
@@ -160,7 +160,7 @@ def _(spark, folder):
 
 _TOP_STAFF = """
     SELECT sf.staff_id, sf.first_name, sf.last_name, ls.store_id,
-           CAST(sum(py.amount) AS DECIMAL(18,2)) AS total_revenue
+           CAST(sum(py.amount) AS DECIMAL(38,2)) AS total_revenue
     FROM staff_posting sf
     JOIN payment py ON py.staff_id = sf.staff_id AND date_part('year', py.payment_date) = 1997
     {how} JOIN (SELECT staff_id, store_id FROM staff_posting {only}
@@ -274,7 +274,7 @@ def _(spark, folder):
 # --- category revenue --------------------------------------------------------------------
 
 @query("q09_category_revenue_quarter", rental_sql("""
-    SELECT ct.name AS category_name, CAST(sum(py.amount) AS DECIMAL(12,2)) AS total_revenue,
+    SELECT ct.name AS category_name, CAST(sum(py.amount) AS DECIMAL(38,2)) AS total_revenue,
            CAST(date_trunc('quarter', py.payment_date) AS DATE) AS quarter_start,
            CAST(year(py.payment_date) AS INT) AS year
     FROM payment py JOIN rental rt USING (rental_id) JOIN inventory iv USING (inventory_id)
@@ -307,7 +307,7 @@ def _(spark, folder):
 
 @query("q11_rentals_in_stock_by_title", rental_sql("""
     WITH busy AS (SELECT DISTINCT inventory_id FROM rental WHERE return_date IS NULL)
-    SELECT CAST(row_number() OVER (ORDER BY title, return_date, rental_id) AS INT) AS row_num,
+    SELECT row_number() OVER (ORDER BY title, return_date, rental_id) AS row_num,
            title AS film_title, name AS language_name, cu.first_name || ' ' || cu.last_name AS customer_name,
            return_date AS rental_date
     FROM rental JOIN inventory USING (inventory_id) JOIN film USING (film_id) JOIN language USING (language_id)
@@ -378,7 +378,7 @@ _BALANCE = """
     paid AS (SELECT customer_id, sum(amount) AS amount FROM payment
              WHERE payment_date <= TIMESTAMP '1999-06-30 00:00:00' GROUP BY customer_id)
     SELECT cu.customer_id,
-           CAST(coalesce(owed.amount, 0) - coalesce(paid.amount, 0) AS DECIMAL(18,2)) AS balance
+           CAST(coalesce(owed.amount, 0) - coalesce(paid.amount, 0) AS DECIMAL(38,2)) AS balance
     FROM cust cu LEFT JOIN owed USING (customer_id) LEFT JOIN paid USING (customer_id) {only}"""
 _BALANCE_VIEWS = ("rental", "inventory", "film", "payment", "cust")
 

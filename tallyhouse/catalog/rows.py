@@ -250,7 +250,7 @@ def _(spark, folder):
 # --- functions ----------------------------------------------------------------------------
 
 _QUARTER = """
-    SELECT ct.name AS category_name, CAST(sum(py.amount) AS DECIMAL(12,2)) AS total_revenue,
+    SELECT ct.name AS category_name, CAST(sum(py.amount) AS DECIMAL(38,2)) AS total_revenue,
            DATE '1998-07-01' AS quarter_start, 1998 AS year
     FROM payment py JOIN rental USING (rental_id) JOIN inventory USING (inventory_id) JOIN film_category USING (film_id)
     JOIN category ct USING (category_id)
@@ -304,7 +304,7 @@ _BALANCES = """
         FROM rental rt JOIN inventory USING (inventory_id) JOIN film fl USING (film_id)
         WHERE rental_date <= TIMESTAMP '1998-12-31 00:00:00' GROUP BY rt.customer_id),
     paid AS (SELECT customer_id, sum(amount) AS amount FROM payment WHERE payment_date <= TIMESTAMP '1998-12-31 00:00:00' GROUP BY customer_id),
-    every AS (SELECT customer_id, CAST(coalesce(owed.amount, 0) - coalesce(paid.amount, 0) AS DECIMAL(18,2)) AS balance
+    every AS (SELECT customer_id, CAST(coalesce(owed.amount, 0) - coalesce(paid.amount, 0) AS DECIMAL(38,2)) AS balance
               FROM cust LEFT JOIN owed USING (customer_id) LEFT JOIN paid USING (customer_id))
     SELECT {columns} FROM every"""
 _BALANCE_VIEWS = ("rental", "inventory", "film", "payment", "cust")

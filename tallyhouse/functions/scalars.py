@@ -12,7 +12,8 @@ AGE_LABELS = {"G": "6+", "PG": "10+", "PG-13": "13+", "R": "17+", "NC-17": "18+"
 UNKNOWN_AGE = "Unknown"
 
 MONEY = "decimal(12,2)"
-TOTAL = "decimal(18,2)"
+# Wide enough for any sum of money values.
+TOTAL = "decimal(38,2)"
 
 
 def label_by_value(column: Column, labels: Mapping[str, object], default: object) -> Column:

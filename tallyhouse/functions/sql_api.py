@@ -39,8 +39,8 @@ FUNCTIONS = {
     # Signed amounts per customer, summed once: fees count up, payments count down. For one customer,
     # filter the result by customer_id; the filter moves below the sum.
     "customer_balances": f"""
-        (p_effective_date TIMESTAMP_NTZ) RETURNS TABLE (customer_id BIGINT, balance DECIMAL(18,2))
-        RETURN SELECT m.customer_id, CAST(sum(m.amount) AS DECIMAL(18,2))
+        (p_effective_date TIMESTAMP_NTZ) RETURNS TABLE (customer_id BIGINT, balance DECIMAL(38,2))
+        RETURN SELECT m.customer_id, CAST(sum(m.amount) AS DECIMAL(38,2))
                FROM (SELECT customer_id, CAST(0 AS DECIMAL(13,2)) AS amount FROM customer
                      UNION ALL
                      SELECT r.customer_id, CAST(f.rental_rate AS DECIMAL(12,2)) + CAST(CASE
@@ -56,8 +56,8 @@ FUNCTIONS = {
                GROUP BY m.customer_id""",
     "get_sales_revenue_by_category_qtr": """
         (p_date DATE DEFAULT current_date())
-        RETURNS TABLE (category_name STRING, total_revenue DECIMAL(12,2), quarter_start DATE, year INT)
-        RETURN SELECT c.name, CAST(sum(k.paid) AS DECIMAL(12,2)), CAST(date_trunc('quarter', p_date) AS DATE), year(p_date)
+        RETURNS TABLE (category_name STRING, total_revenue DECIMAL(38,2), quarter_start DATE, year INT)
+        RETURN SELECT c.name, CAST(sum(k.paid) AS DECIMAL(38,2)), CAST(date_trunc('quarter', p_date) AS DATE), year(p_date)
                FROM (SELECT i.film_id, sum(p.amount) AS paid
                      FROM payment p JOIN rental r ON r.rental_id = p.rental_id JOIN inventory i ON i.inventory_id = r.inventory_id
                      WHERE p.payment_date >= CAST(CAST(date_trunc('quarter', p_date) AS DATE) AS TIMESTAMP_NTZ)

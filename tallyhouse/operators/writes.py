@@ -30,9 +30,10 @@ def as_column(value) -> Column:
 
 def conform(rows: DataFrame, target: DataFrame) -> DataFrame:
     """``rows`` with the columns and types of ``target``; columns not given become NULL."""
+    given = set(rows.columns)
     return rows.select(
         *[
-            (F.col(field.name) if field.name in rows.columns else F.lit(None))
+            (F.col(field.name) if field.name in given else F.lit(None))
             .cast(field.dataType)
             .alias(field.name)
             for field in target.schema
@@ -55,7 +56,8 @@ def without_present(rows: DataFrame, target: DataFrame, key: Sequence[str]) -> D
 
 def with_defaults(rows: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Add the columns that were left out. A column given as NULL stays NULL."""
-    missing = {name: as_column(value) for name, value in defaults.items() if name not in rows.columns}
+    given = set(rows.columns)
+    missing = {name: as_column(value) for name, value in defaults.items() if name not in given}
     return rows.withColumns(missing) if missing else rows
 
 
@@ -182,8 +184,9 @@ def update_where(
     as an update trigger does.
     """
     hit = F.coalesce(condition, F.lit(False))
+    schema = target.schema
     new = {
-        name: as_column(value).cast(target.schema[name].dataType)
+        name: as_column(value).cast(schema[name].dataType)
         for name, value in {**(stamp or {}), **assignments}.items()
     }
     table = target.withColumns({name: F.when(hit, value).otherwise(F.col(name)) for name, value in new.items()})

@@ -21,5 +21,5 @@ def labelled_series(spark: SparkSession, rows: int, prefix: str = PREFIX) -> Dat
 
 def drop_multiples(table: DataFrame, divisor: int = 3, prefix: str = PREFIX) -> Change:
     """Delete the rows whose number, after the prefix, is divisible by ``divisor``."""
-    number = F.replace(F.col("col"), F.lit(prefix), F.lit("")).cast("int")
+    number = F.replace(F.col("col"), F.lit(prefix), F.lit("")).cast("long")
     return writes.delete_where(table, number % divisor == 0)

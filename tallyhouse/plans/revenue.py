@@ -11,7 +11,7 @@ from tallyhouse.functions.guards import require_positive
 from tallyhouse.functions.periods import (
     as_date, in_range, instant, month_start, quarter_range, shift_months, year_range,
 )
-from tallyhouse.functions.scalars import MONEY, TOTAL, full_address, total
+from tallyhouse.functions.scalars import TOTAL, full_address, total
 from tallyhouse.operators.picks import first_per_key, top
 
 Tables = Mapping[str, DataFrame]
@@ -143,7 +143,7 @@ def category_revenue(t: Tables, as_of) -> DataFrame:
         .where(F.col("total_revenue") > 0)
         .select(
             "category_name",
-            F.col("total_revenue").cast(MONEY).alias("total_revenue"),
+            "total_revenue",
             F.lit(start).alias("quarter_start"),
             F.lit(start.year).alias("year"),
         )

@@ -130,6 +130,5 @@ def rentals_in_stock_by_title(t: Tables, pattern: str | None) -> DataFrame:
     )
     order = [F.col("film_title").asc_nulls_last(), F.col("rental_date"), F.col("rental_id")]
     return number_rows(past, order).select(
-        F.col("row_num").cast("int").alias("row_num"),
-        "film_title", "language_name", "customer_name", "rental_date",
+        "row_num", "film_title", "language_name", "customer_name", "rental_date",
     )

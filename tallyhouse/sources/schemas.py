@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.operators import quality
@@ -38,7 +39,10 @@ class TableDef:
         return T.StructType.fromDDL(re.sub(r"VARCHAR\(\d+\)", "STRING", self.columns))
 
     def empty(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([], self.schema)
+        # A false filter over constants is an empty relation to the optimizer, which then drops joins with it.
+        return spark.range(1).where(F.lit(False)).select(
+            *[F.lit(None).cast(column.dataType).alias(column.name) for column in self.schema]
+        )
 
     def declared_unique(self) -> list[tuple[str, ...]]:
         """Keys on which an inserted row can conflict; an assigned number never does."""
