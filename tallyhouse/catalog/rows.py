@@ -21,9 +21,7 @@ def orders(spark, folder):
 
 def published(spark, folder):
     """A session of its own with the SQL functions, so that the caller's views stay as they are."""
-    own = spark.newSession()
-    sql_api.publish(own, rental_tables(own, folder))
-    return own
+    return sql_api.publish(rental_tables(spark.newSession(), folder))
 
 
 # --- writes ------------------------------------------------------------------------------
@@ -270,6 +268,15 @@ def _(spark, folder):
     return category_revenue(rental_tables(spark, folder), "1998-08-20")
 
 
+@query("u2_sql_rewards_report", rental_sql("""
+    SELECT customer_id, store_id, first_name, last_name, email, address_id, activebool, create_date, last_update, active
+    FROM cust WHERE customer_id IN (
+        SELECT customer_id FROM payment WHERE payment_date BETWEEN TIMESTAMP '1997-03-01 00:00:00' AND TIMESTAMP '1997-03-31 00:00:00'
+        GROUP BY customer_id HAVING sum(amount) > 100000 AND count(payment_id) > 1)""", "cust", "payment"))
+def _(spark, folder):
+    return published(spark, folder).sql("SELECT * FROM rewards_report(1, 100000, DATE '1997-04-15')")
+
+
 @query("u3_set_returning_function", rental_sql("""
     SELECT iv.inventory_id, 'in' AS state FROM inventory iv WHERE film_id = 2 AND store_id = 2 AND NOT EXISTS
       (SELECT 1 FROM rental rt WHERE rt.inventory_id = iv.inventory_id AND return_date IS NULL)

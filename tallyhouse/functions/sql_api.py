@@ -1,6 +1,6 @@
 """The stored functions as temporary SQL functions over temporary views.
 
-After ``publish(spark, tables)`` the functions can be used in ``spark.sql``: table functions in
+After ``publish(tables)`` the functions can be used in ``spark.sql``: table functions in
 FROM, scalar functions in any expression. Spark inlines their bodies into the calling query, so
 a scalar function applied to a whole table becomes one join, not a lookup per row. Functions
 that number rows, raise on unknown names or change tables are Python functions in
@@ -9,7 +9,7 @@ that number rows, raise on unknown names or change tables are Python functions i
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,12 +65,30 @@ FUNCTIONS = {
                      GROUP BY i.film_id) k
                JOIN film_category l ON l.film_id = k.film_id JOIN category c ON c.category_id = l.category_id
                GROUP BY c.name HAVING sum(k.paid) > 0""",
+    # Customers above both thresholds in the month before p_as_of; thresholds must be positive.
+    "rewards_report": """
+        (min_monthly_purchases INT, min_dollar_amount_purchased DECIMAL(12,2), p_as_of DATE DEFAULT current_date())
+        RETURNS TABLE (customer_id BIGINT, store_id INT, first_name STRING, last_name STRING, email STRING, address_id INT,
+                       activebool BOOLEAN, create_date DATE, last_update DATE, active INT)
+        RETURN SELECT c.customer_id, c.store_id, c.first_name, c.last_name, c.email, c.address_id, c.activebool,
+                      c.create_date, c.last_update, c.active
+               FROM customer c
+               JOIN (SELECT p.customer_id FROM payment p
+                     WHERE p.payment_date >= CAST(add_months(CAST(date_trunc('month', p_as_of) AS DATE), -1) AS TIMESTAMP_NTZ)
+                       AND p.payment_date <= CAST(date_sub(CAST(date_trunc('month', p_as_of) AS DATE), 1) AS TIMESTAMP_NTZ)
+                     GROUP BY p.customer_id
+                     HAVING sum(p.amount) > min_dollar_amount_purchased AND count(p.payment_id) > min_monthly_purchases) q
+                 ON q.customer_id = c.customer_id
+               WHERE if(min_monthly_purchases > 0 AND min_dollar_amount_purchased > 0, TRUE,
+                        CAST(raise_error('thresholds must be > 0') AS BOOLEAN))""",
 }
 
 
-def publish(spark: SparkSession, tables: Mapping[str, DataFrame], views: Iterable[str] = VIEWS) -> None:
-    """Create the views the functions read, then the functions, in this session only."""
+def publish(tables: Mapping[str, DataFrame], views: Sequence[str] = VIEWS) -> SparkSession:
+    """Create the views the functions read, then the functions, in the tables' own session only."""
+    spark = tables[views[0]].sparkSession
     for name in views:
         tables[name].createOrReplaceTempView(name)
     for name, text in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name} {text}")
+    return spark

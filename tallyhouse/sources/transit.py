@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from tallyhouse.sources.schemas import TableDef
 from tallyhouse.sources.tables import Tables
 
+# Names, types, keys and checks of the transit tables.
 TRANSIT = (
     TableDef(
         "repair_status_code", "id STRING, name VARCHAR(50), description STRING", ("id",), numbered=False,

@@ -351,3 +351,20 @@ def test_transit_load(spark):
     broken = {(r.table_name, r.rule) for r in quality.constraint_report(tables, rules_of(TRANSIT)).collect() if r.violations}
     assert broken == {("balance", "balance not negative")}
     assert set(references_of(TRANSIT)["ticket"]) == {"customer", "payment_method", "station", "ticket_type"}
+
+
+def test_sql_functions(spark, accounts, table):
+    from tallyhouse.functions import sql_api
+
+    others = {name: table(name, []) for name in ("language", "category", "film_category")}
+    own = sql_api.publish({**accounts, **others})
+    # all rentals are open: copies 1-3 are out, held by the customer of the earliest rental
+    rows = own.sql(
+        "SELECT inventory_id, inventory_in_stock(inventory_id), inventory_held_by_customer(inventory_id) FROM inventory"
+    ).collect()
+    assert sorted(map(tuple, rows)) == [(1, False, 1), (2, False, 2), (3, False, 3)]
+    assert own.sql("SELECT * FROM film_in_stock(1, 1)").collect() == []
+    assert sorted(r[0] for r in own.sql("SELECT * FROM film_not_in_stock(1, 1)").collect()) == [1, 3]
+    assert own.sql("SELECT * FROM get_sales_revenue_by_category_qtr()").collect() == []
+    with pytest.raises(Exception, match="thresholds"):
+        own.sql("SELECT * FROM rewards_report(0, 5)").collect()
