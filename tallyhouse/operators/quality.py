@@ -77,33 +77,35 @@ def _key_rule(df: DataFrame, rule: Rule) -> DataFrame:
 
     Counts per key are combined in the map tasks, so a key with many copies travels as one row.
     """
-    per_key = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n")).select(
-        _any_null(rule.columns).alias("has_null"), "n"
-    )
-    surplus = F.when(~F.col("has_null"), F.col("n") - 1)
+    per_key = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n"))
+    has_null = _any_null(rule.columns)
+    surplus = F.when(~has_null, F.col("n") - 1)
     if rule.kind == "primary key":
         surplus = surplus.otherwise(F.col("n"))
-    return _one_count(per_key.agg(F.coalesce(F.sum(surplus), F.lit(0)).alias("violations")), rule)
+    return _labelled(per_key.select(surplus.alias("violations")), rule)
 
 
 def _reference_rule(df: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
     """Child rows whose complete key has no parent, counted per distinct key before the join."""
     per_key = (
-        df.where(~_any_null(rule.columns)).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n"))
+        df.where(~_any_null(rule.columns)).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("violations"))
     )
     keys = parent.select(
         *[F.col(p).alias(c) for c, p in zip(rule.columns, rule.parent_columns)]
     ).distinct()
-    orphans = per_key.join(keys, list(rule.columns), "left_anti")
-    return _one_count(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")), rule)
+    return _labelled(per_key.join(keys, list(rule.columns), "left_anti"), rule)
 
 
-def _one_count(counts: DataFrame, rule: Rule) -> DataFrame:
+def _labelled(counts: DataFrame, rule: Rule) -> DataFrame:
     return counts.select(F.lit(rule.table).alias("table_name"), F.lit(rule.name).alias("rule"), "violations")
 
 
 def constraint_report(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
-    """(table_name, rule, violations): one row per rule."""
+    """(table_name, rule, violations): one row per rule.
+
+    The counts of all rules are added up in one last aggregation instead of one per rule.
+    """
+    rules = list(rules)
     row_rules: dict[str, list[Rule]] = defaultdict(list)
     parts: list[DataFrame] = []
     for rule in rules:
@@ -114,4 +116,12 @@ def constraint_report(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) ->
         else:
             parts.append(_key_rule(tables[rule.table], rule))
     parts += [_row_rules(tables[table], table, group) for table, group in row_rules.items()]
-    return reduce(DataFrame.unionByName, parts)
+    # A rule that nothing breaks may have no row above; this keeps it in the report at 0.
+    unbroken = parts[0].sparkSession.createDataFrame(
+        [(rule.table, rule.name, 0) for rule in rules], "table_name string, rule string, violations bigint"
+    )
+    return (
+        reduce(DataFrame.unionByName, parts, unbroken)
+        .groupBy("table_name", "rule")
+        .agg(F.sum("violations").alias("violations"))
+    )
