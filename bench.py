@@ -57,7 +57,8 @@ def main() -> None:
 
     with tempfile.TemporaryDirectory(prefix="tallyhouse-bench-") as scratch:
         spark = build_session(CPUS, shuffle_partitions=int(CPUS))
-        spark.sparkContext.setCheckpointDir(scratch)
+        if not spark.conf.get("spark.checkpoint.dir", None):
+            spark.sparkContext.setCheckpointDir(scratch)
         times: dict[str, float] = {}
 
         def timed(name: str, action):

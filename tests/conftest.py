@@ -13,7 +13,8 @@ from tallyhouse.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(8, shuffle_partitions=4)
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 
