@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tallyhouse.llm.op2_repeats import op2_super_kmer_dedup
+from tallyhouse.llm.op6_near_dups import op6_tensored_minhash
 
 QUERIES = {
     "op2_super_kmer_dedup": op2_super_kmer_dedup,
+    "op6_tensored_minhash": op6_tensored_minhash,
 }
 ORACLES: dict[str, str] = {}
