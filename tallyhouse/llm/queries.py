@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm import op9_mixing
+from tallyhouse.llm.op1_token_counts import op1_token_counts
 from tallyhouse.llm.op2_repeats import op2_super_kmer_dedup
 from tallyhouse.llm.op6_near_dups import op6_tensored_minhash
+from tallyhouse.llm.op8_sentencepiece import op8_sentencepiece
+from tallyhouse.llm.op9_mixing import op9_fair_queue_mix
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_super_kmer_dedup": op2_super_kmer_dedup,
     "op6_tensored_minhash": op6_tensored_minhash,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_fair_queue_mix": op9_fair_queue_mix,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_fair_queue_mix": op9_mixing.oracle()}
