@@ -75,3 +75,20 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (200, 100), (300, 300)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 200: 100, 300: 300}
+
+
+def test_many_blocks_of_one_cluster(spark, monkeypatch):
+    """A cluster whose documents are near a common text but mostly not near each other."""
+    from tallyhouse.llm import op6_near_dups
+
+    monkeypatch.setattr(op6_near_dups, "BLOCK", 7)
+    r = random.Random(9)
+    base = [f"b{k}" for k in range(100)]
+    rows = []
+    for i in range(90):
+        w = base[:]
+        for k in r.sample(range(100), r.choice([2, 7, 8, 9])):
+            w[k] = f"e{i}_{k}" if r.random() < 0.7 else "same"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, near_duplicates(docs).collect()), key=str) == brute(rows)
