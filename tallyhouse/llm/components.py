@@ -11,22 +11,23 @@ from tallyhouse.llm.tables import settle
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that has a link; component is the smallest node reachable.
 
-    Each round sends the smallest label over the links, then lets every node take the label of its
-    label, so that long chains shrink by halves. Labels only fall; the rounds end when none does.
-    Links and labels are checkpointed; the driver sees one count a round.
+    By contraction: every node moves to its smallest neighbour, if that is smaller; links are renamed,
+    those within a node and repeated ones go. The link table shrinks with every round, and the rounds end
+    when it is empty. A link from a node to where it moved stays as a link of the two new names, so nothing
+    falls apart. Tables of a round are checkpointed; the driver sees one emptiness test a round.
     """
-    both = settle(links.select(F.col(a).alias("x"), F.col(b).alias("y")).union(links.select(F.col(b), F.col(a))).distinct())
-    labels = settle(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("c")).select(F.col("x").alias("node"), "c"))
-    while True:
-        near = (
-            both.join(labels.withColumnsRenamed({"node": "y"}), "y")
-            .groupBy("x")
-            .agg(F.min("c").alias("seen"))
-            .withColumnsRenamed({"x": "node"})
-        )
-        pulled = labels.join(near, "node").select("node", "c", F.least("c", "seen").alias("low"))
-        far = labels.select(F.col("node").alias("low"), F.col("c").alias("beyond"))
-        moved = settle(pulled.join(far, "low").select("node", F.col("c").alias("old"), F.least("low", "beyond").alias("c")))
-        labels = moved.select("node", "c")
-        if moved.where(F.col("c") != F.col("old")).isEmpty():
-            return labels.withColumnsRenamed({"c": "component"})
+    named = links.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
+    nodes = named.select(F.col("x").alias("node")).union(named.select("y")).distinct()
+    labels = nodes.withColumn("component", F.col("node"))
+    left = settle(named.where("x != y").distinct())
+    while not left.isEmpty():
+        both = left.select("y", "x").union(left.select(F.col("x"), F.col("x")))
+        moves = settle(both.groupBy(F.col("y").alias("was")).agg(F.min("x").alias("now")))
+        for side in ("x", "y"):
+            step = moves.select(F.col("was").alias(side), F.col("now").alias(f"to_{side}"))
+            left = left.join(step, side)
+        left = left.select(F.least("to_x", "to_y").alias("x"), F.greatest("to_x", "to_y").alias("y")).where("x != y")
+        left = settle(left.distinct())
+        step = moves.where("was != now").withColumnsRenamed({"was": "component"})
+        labels = settle(labels.join(step, "component", "left").select("node", F.coalesce("now", "component").alias("component")))
+    return labels
