@@ -11,23 +11,27 @@ from tallyhouse.llm.tables import settle
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that has a link; component is the smallest node reachable.
 
-    By contraction: every node moves to its smallest neighbour, if that is smaller; links are renamed,
-    those within a node and repeated ones go. The link table shrinks with every round, and the rounds end
-    when it is empty. A link from a node to where it moved stays as a link of the two new names, so nothing
-    falls apart. Tables of a round are checkpointed; the driver sees one emptiness test a round.
+    By contraction: every node moves to its least neighbour, if that is less than itself; links are renamed,
+    and those within a node and repeated ones go. A link between a node and where it moved stays as a link
+    of the two new names, so nothing falls apart. Even rounds compare ids, which ends stars around a small id
+    at once; odd rounds compare hashes, by which a third of the nodes of any long chain go. The link table
+    shrinks until it is empty. Each round's tables are checkpointed; the driver sees one emptiness test.
     """
-    named = links.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
-    nodes = named.select(F.col("x").alias("node")).union(named.select("y")).distinct()
-    labels = nodes.withColumn("component", F.col("node"))
-    left = settle(named.where("x != y").distinct())
+    named = links.select(F.col(a).alias("x"), F.col(b).alias("y"))
+    labels = named.select(F.col("x").alias("node")).union(named.select("y")).distinct().withColumn("root", F.col("node"))
+    left = settle(named.where("x != y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    turn = 0
     while not left.isEmpty():
-        both = left.select("y", "x").union(left.select(F.col("x"), F.col("x")))
-        moves = settle(both.groupBy(F.col("y").alias("was")).agg(F.min("x").alias("now")))
+        order = (lambda c: F.xxhash64(F.col(c), F.lit(turn))) if turn % 2 else F.col  # noqa: B023
+        seen = left.select("x", "y").union(left.select("y", "x")).union(left.select("x", "x")).union(left.select("y", "y"))
+        least = F.min(F.struct(order("y").alias("o"), F.col("y").alias("now")))
+        moves = settle(seen.groupBy(F.col("x").alias("was")).agg(least.alias("m")).select("was", "m.now"))
         for side in ("x", "y"):
-            step = moves.select(F.col("was").alias(side), F.col("now").alias(f"to_{side}"))
-            left = left.join(step, side)
-        left = left.select(F.least("to_x", "to_y").alias("x"), F.greatest("to_x", "to_y").alias("y")).where("x != y")
+            left = left.join(moves.select(F.col("was").alias(side), F.col("now").alias(f"to_{side}")), side)
+        left = left.where("to_x != to_y").select(F.least("to_x", "to_y").alias("x"), F.greatest("to_x", "to_y").alias("y"))
         left = settle(left.distinct())
-        step = moves.where("was != now").withColumnsRenamed({"was": "component"})
-        labels = settle(labels.join(step, "component", "left").select("node", F.coalesce("now", "component").alias("component")))
-    return labels
+        labels = labels.join(moves.withColumnsRenamed({"was": "root"}), "root", "left")
+        labels = settle(labels.select("node", F.coalesce("now", "root").alias("root")))
+        turn += 1
+    first = labels.groupBy("root").agg(F.min("node").alias("component"))
+    return settle(labels.join(first, "root").select("node", "component"))
