@@ -8,30 +8,35 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.tables import settle
 
 
+def _spread(links: DataFrame) -> DataFrame:
+    """(node, component) by labels: each round sends the smallest label over the links, then lets every
+    node take the label of its label, so that long chains shrink by halves."""
+    both = settle(links.select("x", "y").union(links.select("y", "x")).distinct())
+    labels = settle(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("low")).select("node", F.least("node", "low").alias("c")))
+    while True:
+        near = both.join(labels.withColumnsRenamed({"node": "y"}), "y").groupBy(F.col("x").alias("node")).agg(F.min("c").alias("seen"))
+        pulled = labels.join(near, "node").select("node", "c", F.least("c", "seen").alias("low"))
+        far = labels.select(F.col("node").alias("low"), F.col("c").alias("beyond"))
+        moved = settle(pulled.join(far, "low").select("node", F.col("c").alias("old"), F.least("low", "beyond").alias("c")))
+        labels = moved.select("node", "c")
+        if moved.where(F.col("c") != F.col("old")).isEmpty():
+            return labels.select("node", F.col("c").alias("component"))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that has a link; component is the smallest node reachable.
 
-    By contraction: every node moves to its least neighbour, if that is less than itself; links are renamed,
-    and those within a node and repeated ones go. A link between a node and where it moved stays as a link
-    of the two new names, so nothing falls apart. Even rounds compare ids, which ends stars around a small id
-    at once; odd rounds compare hashes, by which a third of the nodes of any long chain go. The link table
-    shrinks until it is empty. Each round's tables are checkpointed; the driver sees one emptiness test.
+    First one contraction: every node moves to its smallest neighbour, if that is smaller, and links are
+    renamed, so that stars around a small id (most of what leaders make) vanish. Then labels spread over
+    the links that are left. Tables are checkpointed; the driver sees one emptiness test a round.
     """
-    named = links.select(F.col(a).alias("x"), F.col(b).alias("y"))
-    labels = named.select(F.col("x").alias("node")).union(named.select("y")).distinct().withColumn("root", F.col("node"))
-    left = settle(named.where("x != y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    turn = 0
-    while not left.isEmpty():
-        order = (lambda c: F.xxhash64(F.col(c), F.lit(turn))) if turn % 2 else F.col  # noqa: B023
-        seen = left.select("x", "y").union(left.select("y", "x")).union(left.select("x", "x")).union(left.select("y", "y"))
-        least = F.min(F.struct(order("y").alias("o"), F.col("y").alias("now")))
-        moves = settle(seen.groupBy(F.col("x").alias("was")).agg(least.alias("m")).select("was", "m.now"))
-        for side in ("x", "y"):
-            left = left.join(moves.select(F.col("was").alias(side), F.col("now").alias(f"to_{side}")), side)
-        left = left.where("to_x != to_y").select(F.least("to_x", "to_y").alias("x"), F.greatest("to_x", "to_y").alias("y"))
-        left = settle(left.distinct())
-        labels = labels.join(moves.withColumnsRenamed({"was": "root"}), "root", "left")
-        labels = settle(labels.select("node", F.coalesce("now", "root").alias("root")))
-        turn += 1
-    first = labels.groupBy("root").agg(F.min("node").alias("component"))
-    return settle(labels.join(first, "root").select("node", "component"))
+    named = settle(links.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).distinct())
+    own = named.select("x", "y").union(named.select("x", F.col("x")))
+    moves = settle(own.groupBy(F.col("y").alias("node")).agg(F.min("x").alias("to")))
+    left = named.where("x != y")
+    for side in ("x", "y"):
+        left = left.join(moves.select(F.col("node").alias(side), F.col("to").alias(f"to_{side}")), side)
+    left = left.where("to_x != to_y").select(F.col("to_x").alias("x"), F.col("to_y").alias("y"))
+    found = _spread(left)
+    named = moves.join(found.select(F.col("node").alias("to"), "component"), "to", "left")
+    return named.select("node", F.coalesce("component", "to").alias("component"))
