@@ -5,9 +5,11 @@ from __future__ import annotations
 from tallyhouse.llm import op9_mixing, op10_topk
 from tallyhouse.llm.op1_token_counts import op1_token_counts
 from tallyhouse.llm.op2_repeats import op2_super_kmer_dedup
+from tallyhouse.llm.op3_main_text import op3_min_cut_text
 from tallyhouse.llm.op4_quality_rules import op4_decision_list
 from tallyhouse.llm.op5_toxicity import op5_boosted_toxicity
 from tallyhouse.llm.op6_near_dups import op6_tensored_minhash
+from tallyhouse.llm.op7_quotes import op7_quote_linking
 from tallyhouse.llm.op8_sentencepiece import op8_sentencepiece
 from tallyhouse.llm.op9_mixing import op9_fair_queue_mix
 from tallyhouse.llm.op10_topk import op10_va_file_topk
@@ -15,9 +17,11 @@ from tallyhouse.llm.op10_topk import op10_va_file_topk
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_super_kmer_dedup": op2_super_kmer_dedup,
+    "op3_min_cut_text": op3_min_cut_text,
     "op4_decision_list": op4_decision_list,
     "op5_boosted_toxicity": op5_boosted_toxicity,
     "op6_tensored_minhash": op6_tensored_minhash,
+    "op7_quote_linking": op7_quote_linking,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fair_queue_mix": op9_fair_queue_mix,
     "op10_va_file_topk": op10_va_file_topk,
