@@ -26,7 +26,7 @@ from tallyhouse.llm.tables import read, without
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Counts that a worker keeps, and the longest pretoken whose count is kept.
-KEPT, KEPT_LENGTH = 500_000, 64
+KEPT, KEPT_LENGTH = 300_000, 64
 _BITS = 20
 _LOW = (1 << _BITS) - 1
 

@@ -49,7 +49,7 @@ DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7":
 EDGE = "\"'.,;:!?()[]{}<>|*#%&-_~`"
 _INNER = re.compile(r"[^\W\d_](?:[\d@$!*.\-_]+)[^\W\d_]")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
-_KEPT = 300_000
+_KEPT = 150_000
 _BYTES = np.zeros((4, 256), dtype=np.int64)
 _BYTES[0, 65:91] = 1
 _BYTES[1, ord("!")] = 1

@@ -33,7 +33,7 @@ from tallyhouse.llm.wordspans import chunks
 
 MODEL = "piece_bpe_32k.model"
 #: Parts and arcs that a worker keeps, and the longest part that is kept.
-KEPT, KEPT_LENGTH = 250_000, 48
+KEPT, KEPT_LENGTH = 120_000, 48
 SPACE = "▁"
 _FREE = -1
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 #: The words of Spark SQL and DuckDB regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once; one longer text is still taken whole.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Rows handled at once: the row number must fit the upper 12 bits of a sort key.
 CHUNK_ROWS = 4096
 #: Bits of a hash that stand beside the row number in a sort key.
