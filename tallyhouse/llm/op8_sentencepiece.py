@@ -5,8 +5,10 @@ pieces, and byte fallback for characters that no piece has. Composed with an inp
 last piece); an arc reads one more piece. The model is of the BPE kind, so the weight of an arc is not a
 piece score: it is 0 if the two pieces stand side by side when their joined text is encoded alone, and
 infinite otherwise. Byte-pair merging is local: a sequence of pieces is the encoding of its text exactly if
-every two neighbours are so. Hence every place has one state of finite weight, and the shortest path in the
-(min, +) semiring, built place by place, is the encoding. Arc weights are found when first needed and kept.
+every two neighbours are so. Hence every place has one state of finite weight, and the encoding is the one path
+of finite weight, which is the shortest in the (min, +) semiring. It is searched depth first, longest piece
+first; a place left behind is never reached again, so the work is linear. Arc weights are found when first
+needed and kept.
 
 No piece has a space inside or at its end, so the path can be cut before each run of spaces, and the parts,
 which repeat, are kept in a bounded table.
@@ -19,6 +21,7 @@ Defined results: null and empty texts have no ids and decode to the empty text (
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +38,7 @@ MODEL = "piece_bpe_32k.model"
 #: Parts and arcs that a worker keeps, and the longest part that is kept.
 KEPT, KEPT_LENGTH = 250_000, 48
 SPACE = "▁"
-_FREE = -1
+_NONE = -1
 
 
 class Transducer(dict):
@@ -60,11 +63,13 @@ class Transducer(dict):
         # Both are true of this model and make the cut at spaces and at unknown letters exact.
         if any(SPACE in t.lstrip(SPACE) for t in self.ids) or not self.letters <= self.ids.keys():
             raise ValueError("the model has pieces with inner spaces, or letters that are no pieces")
-        #: For each last letter the lengths of pieces that end so, longest first.
-        ends: dict[str, set[int]] = {}
-        for t in self.ids:
-            ends.setdefault(t[-1], set()).add(len(t))
-        self.lengths = {c: sorted(n, reverse=True) for c, n in ends.items()}
+        #: Each piece and each beginning of one; its id, or _NONE if it is no piece itself.
+        self.known = {t[:k]: self.ids.get(t[:k], _NONE) for t in self.ids for k in range(1, len(t) + 1)}
+        #: For each id its letters and the next shorter piece that begins it.
+        self.size = [len(self.text.get(i, "")) for i in range(size)]
+        self.shorter = [_NONE] * size
+        for i, t in self.text.items():
+            self.shorter[i] = next((self.ids[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in self.ids), _NONE)
         alone = "".join(c for c in "\n\r\t" if c not in self.letters)
         stop = re.escape(SPACE + alone)
         self.parts = re.compile(f"{SPACE}*[^{stop}]+|{SPACE}+" + (f"|[{re.escape(alone)}]+" if alone else ""))
@@ -84,51 +89,54 @@ class Transducer(dict):
                 return symbols == [left, right]
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
 
-    def path(self, part: str) -> list[int]:
-        """Ids of the shortest path; last[i] is the piece of the one finite state at place i."""
-        ids, arcs, n = self.ids, self.arcs, len(part)
-        last: list = [None] * (n + 1)
-        back = [0] * (n + 1)
-        last[0] = _FREE
-        for end in range(1, n + 1):
-            for size in self.lengths.get(part[end - 1], ()):
-                begin = end - size
-                if begin < 0:
-                    continue
-                before = last[begin]
-                if before is None:
-                    continue
-                piece = ids.get(part[begin:end])
-                if piece is None:
-                    continue
-                if before != _FREE:
-                    arc = before << 20 | piece
-                    ok = arcs.get(arc)
-                    if ok is None:
-                        if len(arcs) >= KEPT:
-                            arcs.clear()
-                        ok = arcs[arc] = self.side_by_side(before, piece)
-                    if not ok:
-                        continue
-                last[end], back[end] = piece, begin
+    def longest(self, part: str, at: int) -> int:
+        """The longest piece that stands at a place, or _NONE."""
+        known, found = self.known.get, _NONE
+        for end in range(at + 1, len(part) + 1):
+            piece = known(part[at:end])
+            if piece is None:
                 break
-            else:
-                if part[end - 1] not in self.letters:
-                    last[end], back[end] = _FREE, end - 1  # byte fallback; what follows is free
-        out: list[int] = []
-        at = n
-        while at:
-            begin = back[at]
-            if last[at] == _FREE:
-                out.extend(self.bytes[b] for b in reversed(part[begin:at].encode("utf-8")))
-            else:
-                out.append(last[at])
-            at = begin
-        out.reverse()
+            if piece >= 0:
+                found = piece
+        return found
+
+    def path(self, part: str) -> list[int]:
+        """Ids of the shortest path; a letter without a piece is an arc of its own and what follows it is free."""
+        arcs, shorter, size, n = self.arcs, self.shorter, self.size, len(part)
+        out: list[int] = []  # pieces, and ~ letter for each byte fallback
+        at, before, fallback = 0, _NONE, False
+        piece = self.longest(part, 0) if n else _NONE
+        while at < n:
+            if piece == _NONE and part[at] not in self.letters:
+                out.append(~ord(part[at]))
+                at, before, fallback = at + 1, _NONE, True
+                piece = self.longest(part, at)
+                continue
+            while piece >= 0 and before >= 0:
+                arc = before << 20 | piece
+                ok = arcs.get(arc)
+                if ok is None:
+                    if len(arcs) >= KEPT:
+                        arcs.clear()
+                    ok = arcs[arc] = self.side_by_side(before, piece)
+                if ok:
+                    break
+                piece = shorter[piece]
+            if piece >= 0:
+                out.append(piece)
+                at, before = at + size[piece], piece
+                piece = self.longest(part, at)
+            else:  # no arc leads on: take the last one back and try the next shorter piece
+                last = out.pop()
+                at -= size[last]
+                before = out[-1] if out and out[-1] >= 0 else _NONE
+                piece = shorter[last]
+        if fallback:
+            return [i for x in out for i in ([x] if x >= 0 else [self.bytes[b] for b in chr(~x).encode("utf-8")])]
         return out
 
     def __missing__(self, part: str) -> bytes:
-        raw = np.array(self.path(part), dtype=np.int32).tobytes()
+        raw = array("i", self.path(part)).tobytes()
         if len(part) <= KEPT_LENGTH:
             if len(self) >= KEPT:
                 self.clear()
