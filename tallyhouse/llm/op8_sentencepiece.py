@@ -10,8 +10,9 @@ of finite weight, which is the shortest in the (min, +) semiring. It is searched
 first; a place left behind is never reached again, so the work is linear. Arc weights are found when first
 needed and kept.
 
-No piece has a space inside or at its end, so the path can be cut before each run of spaces, and the parts,
-which repeat, are kept in a bounded table.
+No piece has a space inside or at its end, so the path can be cut before each run of spaces, and before the
+marks at a word's end where no piece has the two letters side by side. The parts, which repeat, are kept in a
+bounded table.
 
 Decoding runs the inverse: pieces to bytes, U+2581 to spaces, the leading space off.
 
@@ -38,6 +39,8 @@ MODEL = "piece_bpe_32k.model"
 #: Parts and arcs that a worker keeps, and the longest part that is kept.
 KEPT, KEPT_LENGTH = 250_000, 48
 SPACE = "▁"
+#: Marks that may be cut off the end of a word.
+MARKS = ".,:;!?'\"()*#$%&|<>-"
 _NONE = -1
 
 
@@ -63,6 +66,8 @@ class Transducer(dict):
         # Both are true of this model and make the cut at spaces and at unknown letters exact.
         if any(SPACE in t.lstrip(SPACE) for t in self.ids) or not self.letters <= self.ids.keys():
             raise ValueError("the model has pieces with inner spaces, or letters that are no pieces")
+        #: Letters that stand side by side in a piece. No merge crosses any other two, so the path may be cut there.
+        self.pairs = {t[k : k + 2] for t in self.ids for k in range(len(t) - 1)}
         #: Each piece and each beginning of one; its id, or _NONE if it is no piece itself.
         self.known = {t[:k]: self.ids.get(t[:k], _NONE) for t in self.ids for k in range(1, len(t) + 1)}
         #: For each id its letters and the next shorter piece that begins it.
@@ -136,7 +141,11 @@ class Transducer(dict):
         return out
 
     def __missing__(self, part: str) -> bytes:
-        raw = array("i", self.path(part)).tobytes()
+        word = part.rstrip(MARKS)
+        if word and len(word) < len(part) and part[len(word) - 1 : len(word) + 1] not in self.pairs:
+            raw = self[word] + self[part[len(word) :]]
+        else:
+            raw = array("i", self.path(part)).tobytes()
         if len(part) <= KEPT_LENGTH:
             if len(self) >= KEPT:
                 self.clear()
