@@ -33,23 +33,27 @@ def _(spark, folder):
     ).affected
 
 
-FILM_ROWS = (
-    ("Amber Tide", 2013, 7, "4.99", 114, "19.99", "PG-13"),
-    ("red widget", 2018, 14, "9.99", 140, "19.99", "PG-13"),
-    ("Paper Lantern", 2019, 21, "19.99", 113, "19.99", "R"),
-)
-FILM_COLUMNS = "title string, release_year int, rental_duration int, rental_rate string, length int, replacement_cost string, rating string"
-
-
-@query("q22_load_films_if_absent", rental_sql(
-    "SELECT * FROM film UNION ALL " + _NEW_FILM.format(
-        number=1, title="Amber Tide", year=2013, language=1, duration=7, rate=4.99, length=114, rating="'PG-13'")
-    + " WHERE NOT EXISTS (SELECT 1 FROM film WHERE title = 'Amber Tide') UNION ALL " + _NEW_FILM.format(
-        number=2, title="Paper Lantern", year=2019, language=1, duration=21, rate=19.99, length=113, rating="'R'")
-    + " WHERE NOT EXISTS (SELECT 1 FROM film WHERE title = 'Paper Lantern')", "film"))
+# Candidate films: one named after each supplier, and every title that the table has already.
+_OFFERED = """
+    SELECT s_name AS title, CAST(1990 + s_suppkey % 30 AS INT) AS release_year, CAST(1 + s_nationkey % 9 AS INT) AS rental_duration,
+           CAST(1 + s_nationkey % 4 AS DECIMAL(12,2)) AS rental_rate, CAST(60 + s_suppkey % 90 AS INT) AS length,
+           CAST(10 + s_suppkey % 7 AS DECIMAL(12,2)) AS replacement_cost, CASE WHEN s_nationkey < 12 THEN 'G' ELSE 'PG' END AS rating
+    FROM {supplier}
+    UNION ALL
+    SELECT DISTINCT p_name, 2001, 5, CAST(2 AS DECIMAL(12,2)), 90, CAST(12 AS DECIMAL(12,2)), 'G' FROM {part}"""
+
+
+@query("q22_load_films_if_absent", rental_sql(f"""
+    SELECT * FROM film
+    UNION ALL
+    SELECT (SELECT max(film_id) FROM film) + row_number() OVER (ORDER BY title), title, NULL, release_year, 1, rental_duration,
+           rental_rate, length, replacement_cost, rating, DATE '2005-06-30'
+    FROM ({_OFFERED.format(supplier="supplier", part="part")}) offered
+    WHERE title NOT IN (SELECT title FROM film)""", "film"))
 def _(spark, folder):
-    candidates = spark.createDataFrame(list(FILM_ROWS), FILM_COLUMNS)
-    return changes.load_films(rental_tables(spark, folder), candidates, "AMERICA", AS_OF).table
+    t = rental_tables(spark, folder)
+    candidates = spark.sql(_OFFERED, supplier=t.file("supplier"), part=t.file("part"))
+    return changes.load_films(t, candidates, "AMERICA", AS_OF).table
 
 
 @query("q23_load_actors_if_absent", rental_sql("""
@@ -154,14 +158,14 @@ def _(spark, folder):
     return changes.rent_titles(t, *_customer_77(t), ["red widget", "hot gear"], "2005-06-30 12:00:00").table
 
 
-PRICES = {"red widget": "4.99", "hot gear": "9.99", "blue bolt": "19.99"}
+PRICES = {"blue bolt": "6.40", "hot gear": "2.75", "red widget": "1.25"}
 
 
 @query("q29_pay_by_title", rental_sql("""
     SELECT (SELECT max(payment_id) FROM payment) + row_number() OVER (ORDER BY rental_id) AS payment_id,
            customer_id, 1 AS staff_id, rental_id,
-           CAST(CASE title WHEN 'red widget' THEN 4.99 WHEN 'hot gear' THEN 9.99 ELSE 19.99 END AS DECIMAL(12,2)) AS amount,
-           TIMESTAMP '2017-05-01 00:00:00' AS payment_date
+           CAST(CASE title WHEN 'blue bolt' THEN 6.40 WHEN 'hot gear' THEN 2.75 ELSE 1.25 END AS DECIMAL(12,2)) AS amount,
+           TIMESTAMP '2011-09-14 00:00:00' AS payment_date
     FROM rental JOIN inventory USING (inventory_id) JOIN film USING (film_id) JOIN cust USING (customer_id)
     WHERE title IN ('red widget', 'hot gear', 'blue bolt') AND first_name = 'BUILDING' AND last_name LIKE 'Customer#%'""",
     "payment", "rental", "inventory", "film", "cust"))
@@ -169,7 +173,7 @@ def _(spark, folder):
     t = rental_tables(spark, folder)
     people = t["customer"].where(F.col("first_name") == "BUILDING").withColumn("last_name", F.lit("All"))
     shared = {**{name: t[name] for name in ("payment", "rental", "inventory", "film")}, "customer": people}
-    return changes.pay_by_title(shared, "BUILDING", "All", PRICES, "2017-05-01").affected
+    return changes.pay_by_title(shared, "BUILDING", "All", PRICES, "2011-09-14").affected
 
 
 @query("q30_labelled_series", """

@@ -36,24 +36,22 @@ FUNCTIONS = {
         RETURN SELECT i.inventory_id FROM inventory i
                LEFT SEMI JOIN (SELECT inventory_id FROM rental WHERE return_date IS NULL) o ON o.inventory_id = i.inventory_id
                WHERE i.film_id = p_film_id AND i.store_id = p_store_id""",
-    # Signed amounts per customer, summed once: fees count up, payments count down. For one customer,
-    # filter the result by customer_id; the filter moves below the sum.
+    # Signed amounts, summed per customer before customers are joined: fees count up, payments count
+    # down. For one customer, filter the result by customer_id; the filter moves below the sum.
     "customer_balances": f"""
         (p_effective_date TIMESTAMP_NTZ) RETURNS TABLE (customer_id BIGINT, balance DECIMAL(38,2))
-        RETURN SELECT m.customer_id, CAST(sum(m.amount) AS DECIMAL(38,2))
-               FROM (SELECT customer_id, CAST(0 AS DECIMAL(13,2)) AS amount FROM customer
-                     UNION ALL
+        RETURN SELECT c.customer_id, CAST(coalesce(s.amount, 0) AS DECIMAL(38,2))
+               FROM customer c LEFT JOIN (SELECT m.customer_id, sum(m.amount) AS amount FROM (
                      SELECT r.customer_id, CAST(f.rental_rate AS DECIMAL(12,2)) + CAST(CASE
                               WHEN r.return_date IS NULL THEN 0
                               WHEN r.return_date - r.rental_date > f.rental_duration * INTERVAL '2' DAY THEN f.replacement_cost
                               WHEN r.return_date - r.rental_date > f.rental_duration * INTERVAL '1' DAY THEN {_HELD_DAYS}
-                              ELSE 0 END AS DECIMAL(12,2))
+                              ELSE 0 END AS DECIMAL(12,2)) AS amount
                      FROM rental r JOIN inventory i ON i.inventory_id = r.inventory_id JOIN film f ON f.film_id = i.film_id
                      WHERE r.rental_date <= p_effective_date
                      UNION ALL
                      SELECT customer_id, -amount FROM payment WHERE payment_date <= p_effective_date) m
-               LEFT SEMI JOIN customer c ON c.customer_id = m.customer_id
-               GROUP BY m.customer_id""",
+               GROUP BY m.customer_id) s ON s.customer_id = c.customer_id""",
     "get_sales_revenue_by_category_qtr": """
         (p_date DATE DEFAULT current_date())
         RETURNS TABLE (category_name STRING, total_revenue DECIMAL(38,2), quarter_start DATE, year INT)

@@ -22,8 +22,10 @@ def number_rows(
 ) -> DataFrame:
     """Add ``name`` = start, start + 1, … in the given order.
 
-    The rows are range-sorted over all partitions once and checkpointed, so that a lost
-    executor cannot change which partition a row sits in. Each row's number is then its
+    The rows get their tie-break and are checkpointed, so that a task that runs again sees the
+    same rows with the same tie-breaks; the sort then samples and reads the checkpoint, not
+    what it was made from. They are range-sorted over all partitions once and checkpointed
+    again, which fixes the partition a row sits in. Each row's number is then its
     place in its partition plus the sizes of the earlier partitions. Only that table of
     sizes (one row per partition, whatever the data volume) is gathered and broadcast.
     Rows that tie are numbered in any order; a tie-break column spreads them over partitions,
@@ -32,6 +34,7 @@ def number_rows(
     shared_folder(df.sparkSession)
     placed = (
         df.withColumn(_TIE, F.monotonically_increasing_id())
+        .checkpoint()
         .orderBy(*order_by, _TIE)
         .select(*df.columns, F.monotonically_increasing_id().alias(_SLOT))
         .checkpoint()

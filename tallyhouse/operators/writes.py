@@ -54,6 +54,12 @@ def without_present(rows: DataFrame, target: DataFrame, key: Sequence[str]) -> D
     return rows.join(asked, key, "left_anti")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """The batch as a checkpoint: it is compared twice, and is not computed twice."""
+    shared_folder(rows.sparkSession)
+    return rows.checkpoint()
+
+
 def with_defaults(rows: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Add the columns that were left out. A column given as NULL stays NULL."""
     given = set(rows.columns)
@@ -82,7 +88,7 @@ def insert_if_absent(
 
     Repeats inside the batch are all kept: each is compared with the table as it was.
     """
-    return insert_rows(target, without_present(rows, target, match), key, order_by or match)
+    return insert_rows(target, without_present(_once(rows), target, match), key, order_by or match)
 
 
 def insert_unless_conflict(
@@ -95,7 +101,7 @@ def insert_unless_conflict(
     """Append ``rows`` in ``order_by`` order, skipping each row that shares a declared unique
     key with ``target`` or with a row already taken. NULL key parts never conflict. Without a
     declared key nothing conflicts. Rows that tie in ``order_by`` are taken in any order."""
-    pending = reduce(lambda left, columns: without_present(left, target, columns), unique, rows)
+    pending = reduce(lambda left, columns: without_present(left, target, columns), unique, _once(rows))
     if len(unique) == 1:
         pending = _first_of_each(pending, unique[0], order_by)
     elif len(unique) > 1:
