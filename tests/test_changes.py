@@ -335,7 +335,7 @@ TRANSIT_ROWS = {
         ("loop", 3, "north", "south", "k2")]),
     "station": ("source_key int, name string, repair_status_code_id string, required_number_of_employees int", [
         (1, "south", "k1", 2), (2, "north", "k2", 5), (3, "middle", "k1", 1)]),
-    "line": ("route_name string, station_name string", [("loop", "middle"), ("loop", "north"), ("loop", "middle"), ("none", "north")]),
+    "line": ("route_name string, station_name string", [("loop", "middle"), ("loop", "north"), ("loop", "middle")]),
     "customer": ("type string", [("guest",), ("member",)]),
     "account": ("customer_type string", [("member",), ("guest",)]),
     "balance": ("account_id bigint, remaining_balance decimal(10,2)", [(1, dec("-0.01")), (2, dec("0.00"))]),
