@@ -330,11 +330,11 @@ def test_museum_load(spark):
 
 
 TRANSIT_ROWS = {
-    "repair_status_code": ("id string, name string", [("k1", "open"), ("k2", "shut"), ("k1", "past"), ("k3", "open")]),
+    "repair_status_code": ("id string, name string", [("k01", "open"), ("k02", "shut"), ("k01", "past"), ("k03", "open")]),
     "route": ("name string, required_number_of_trains int, start_station string, end_station string, repair_status_code_id string", [
-        ("loop", 3, "north", "south", "k2")]),
+        ("loop", 3, "north", "south", "k02")]),
     "station": ("source_key int, name string, repair_status_code_id string, required_number_of_employees int", [
-        (1, "south", "k1", 2), (2, "north", "k2", 5), (3, "middle", "k1", 1)]),
+        (1, "south", "k01", 2), (2, "north", "k02", 5), (3, "middle", "k01", 1)]),
     "line": ("route_name string, station_name string", [("loop", "middle"), ("loop", "north"), ("loop", "middle")]),
     "customer": ("type string", [("guest",), ("member",)]),
     "account": ("customer_type string", [("member",), ("guest",)]),
@@ -345,8 +345,8 @@ TRANSIT_ROWS = {
 def test_transit_load(spark):
     rows = {name: spark.createDataFrame(data, ddl) for name, (ddl, data) in TRANSIT_ROWS.items()}
     tables = loads.load_tables(spark, TRANSIT, loads.TRANSIT_STEPS, rows)
-    # 'k3' repeats the name of a row that was taken; the second 'k1' repeats an id
-    assert sorted(r.id for r in tables["repair_status_code"].collect()) == ["k1", "k2"]
+    # 'k03' repeats the name of a row that was taken; the second 'k01' repeats an id
+    assert sorted(r.id for r in tables["repair_status_code"].collect()) == ["k01", "k02"]
     place = {r.name: r.id for r in tables["station"].collect()}
     assert {place["middle"], place["north"]} <= {v for r in tables["line"].collect() for v in r}
     assert tables["line"].count() == 2 and tables["account"].count() == 2
