@@ -176,27 +176,21 @@ def _(spark, folder):
     return changes.pay_by_title(shared, "BUILDING", "All", PRICES, "2011-09-14").affected
 
 
-@query("q30_labelled_series", """
-    SELECT 'veeeeeeery_long_string' || i AS col
-    FROM (SELECT unnest(generate_series(1, (SELECT count(*) FROM orders))) AS i)""")
+@query("q30_labelled_series", "SELECT 'veeeeeeery_long_string' || o_orderkey AS col FROM orders")
 def _(spark, folder):
-    return bulk.labelled_series(spark, rental_tables(spark, folder).file("orders").count())
+    return bulk.labelled(rental_tables(spark, folder).file("orders"), "o_orderkey")
 
 
 @query("q31_drop_multiples_of_three", """
     SELECT 'veeeeeeery_long_string' || o_orderkey AS col FROM orders WHERE o_orderkey % 3 <> 0""")
 def _(spark, folder):
-    orders = rental_tables(spark, folder).file("orders")
-    labels = orders.select(F.concat(F.lit(bulk.PREFIX), F.col("o_orderkey").cast("string")).alias("col"))
-    return bulk.drop_multiples(labels).table
+    return bulk.drop_multiples(bulk.labelled(rental_tables(spark, folder).file("orders"), "o_orderkey")).table
 
 
 @query("q31_rows_dropped", """
     SELECT 'veeeeeeery_long_string' || o_orderkey AS col FROM orders WHERE o_orderkey % 3 = 0""")
 def _(spark, folder):
-    orders = rental_tables(spark, folder).file("orders")
-    labels = orders.select(F.concat(F.lit(bulk.PREFIX), F.col("o_orderkey").cast("string")).alias("col"))
-    return bulk.drop_multiples(labels).affected
+    return bulk.drop_multiples(bulk.labelled(rental_tables(spark, folder).file("orders"), "o_orderkey")).affected
 
 
 @query("q32_customer_with_history", rental_sql("""

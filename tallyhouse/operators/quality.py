@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -63,65 +62,74 @@ def _row_condition(rule: Rule) -> Column:
     return ~F.expr(rule.predicate)
 
 
-def _row_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
-    """All not-null and check rules of a table in one pass over it."""
-    counts = df.agg(*[F.count_if(_row_condition(rule)).alias(f"c{n}") for n, rule in enumerate(rules)])
-    pairs = F.array(
-        *[F.struct(F.lit(rule.name).alias("rule"), F.col(f"c{n}").alias("violations")) for n, rule in enumerate(rules)]
-    )
-    return counts.select(F.inline(pairs)).select(F.lit(table).alias("table_name"), "rule", "violations")
-
-
-def _key_rule(df: DataFrame, rule: Rule) -> DataFrame:
-    """Rows beyond the first of each key; NULL parts break a primary key, not a unique key.
-
-    Counts per key are combined in the map tasks, so a key with many copies travels as one row.
-    """
-    per_key = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n"))
-    has_null = _any_null(rule.columns)
-    surplus = F.when(~has_null, F.col("n") - 1)
-    if rule.kind == "primary key":
-        surplus = surplus.otherwise(F.col("n"))
-    return _labelled(per_key.select(surplus.alias("violations")), rule)
+def _key(columns: Iterable[str]) -> Column:
+    """The key as text; NULL if a part of it is NULL."""
+    return F.when(~_any_null(columns), F.array(*[F.col(c).cast("string") for c in columns]))
 
 
-def _reference_rule(df: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
-    """Child rows whose complete key has no parent, counted per distinct key before the join."""
-    per_key = (
-        df.where(~_any_null(rule.columns)).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("violations"))
+def _mark(number: int, key: Column, child: int, parent: int) -> Column:
+    return F.struct(
+        F.lit(number).alias("number"), key.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent")
     )
-    keys = parent.select(
-        *[F.col(p).alias(c) for c, p in zip(rule.columns, rule.parent_columns)]
-    ).distinct()
-    return _labelled(per_key.join(keys, list(rule.columns), "left_anti"), rule)
 
 
-def _labelled(counts: DataFrame, rule: Rule) -> DataFrame:
-    return counts.select(F.lit(rule.table).alias("table_name"), F.lit(rule.name).alias("rule"), "violations")
+def _marks(table: str, rules: Sequence[Rule]) -> list[Column]:
+    """What one row of ``table`` says about each rule: a (number, key, child, parent), or NULL.
+
+    A broken row rule gives a mark without a key. A key gives a mark for the row that has it; a
+    reference gives one on each side.
+    """
+    marks = []
+    for number, rule in enumerate(rules):
+        if rule.table == table and rule.kind in ("not null", "check"):
+            marks.append(F.when(_row_condition(rule), _mark(number, F.lit(None).cast("array<string>"), 1, 0)))
+        elif rule.table == table:
+            # NULL parts break a primary key, but not a unique or foreign key.
+            counts = F.lit(True) if rule.kind == "primary key" else ~_any_null(rule.columns)
+            marks.append(F.when(counts, _mark(number, _key(rule.columns), 1, 0)))
+        if rule.parent == table:
+            marks.append(F.when(~_any_null(rule.parent_columns), _mark(number, _key(rule.parent_columns), 0, 1)))
+    return marks
 
 
 def constraint_report(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
     """(table_name, rule, violations): one row per rule.
 
-    The counts of all rules are added up in one last aggregation instead of one per rule.
+    Each table is read once: its rows are turned into marks for all rules, those of the rules that refer
+    to it included. One aggregation counts children and parents per rule and key, another adds up per
+    rule. Both combine in the map tasks, so a hot key or a rule broken by every row travels as one row
+    a task. Keys are compared as text: both sides of a reference need one type, or whole numbers.
     """
     rules = list(rules)
-    row_rules: dict[str, list[Rule]] = defaultdict(list)
-    parts: list[DataFrame] = []
-    for rule in rules:
-        if rule.kind in ("not null", "check"):
-            row_rules[rule.table].append(rule)
-        elif rule.kind == "foreign key":
-            parts.append(_reference_rule(tables[rule.table], tables[rule.parent], rule))
-        else:
-            parts.append(_key_rule(tables[rule.table], rule))
-    parts += [_row_rules(tables[table], table, group) for table, group in row_rules.items()]
+    named = sorted({rule.table for rule in rules} | {rule.parent for rule in rules if rule.parent})
+    marked = [
+        tables[name].select(F.explode(F.array(*_marks(name, rules))).alias("mark")).where("mark IS NOT NULL").select("mark.*")
+        for name in named
+    ]
+    per_key = (
+        reduce(DataFrame.unionByName, marked)
+        .groupBy("number", "key")
+        .agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    )
+    references = [number for number, rule in enumerate(rules) if rule.kind == "foreign key"]
+    violations = (
+        F.when(F.col("key").isNull(), F.col("child"))
+        .when(F.col("number").isin(references), F.when(F.col("parent") == 0, F.col("child")).otherwise(0))
+        .otherwise(F.col("child") - 1)
+    )
     # A rule that nothing breaks may have no row above; this keeps it in the report at 0.
-    unbroken = parts[0].sparkSession.createDataFrame(
-        [(rule.table, rule.name, 0) for rule in rules], "table_name string, rule string, violations bigint"
+    unbroken = per_key.sparkSession.range(len(rules)).select(
+        F.col("id").cast("int").alias("number"), F.lit(0).cast("bigint").alias("violations")
     )
+    label = lambda texts: F.element_at(F.array(*map(F.lit, texts)), F.col("number") + 1)
     return (
-        reduce(DataFrame.unionByName, parts, unbroken)
-        .groupBy("table_name", "rule")
+        per_key.select("number", violations.alias("violations"))
+        .unionByName(unbroken)
+        .groupBy("number")
         .agg(F.sum("violations").alias("violations"))
+        .select(
+            label([rule.table for rule in rules]).alias("table_name"),
+            label([rule.name for rule in rules]).alias("rule"),
+            "violations",
+        )
     )

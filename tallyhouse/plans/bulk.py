@@ -19,6 +19,11 @@ def labelled_series(spark: SparkSession, rows: int, prefix: str = PREFIX) -> Dat
     )
 
 
+def labelled(keys: DataFrame, key: str, prefix: str = PREFIX) -> DataFrame:
+    """prefix || key for the keys of a table."""
+    return keys.select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("col"))
+
+
 def drop_multiples(table: DataFrame, divisor: int = 3, prefix: str = PREFIX) -> Change:
     """Delete the rows whose number, after the prefix, is divisible by ``divisor``."""
     number = F.replace(F.col("col"), F.lit(prefix), F.lit("")).cast("long")

@@ -91,6 +91,9 @@ MUSEUM_STEPS = (
 _ROUTE = ByName("route_name", "route_id", "route", "name")
 _STATION = ByName("station_name", "station_id", "station", "name")
 _CUSTOMER = ByName("customer_type", "customer_id", "customer", "type")
+# An account is found by its customer, a train by its route: the first one of each.
+_ACCOUNT = ByName("customer_id", "account_id", "account", "customer_id")
+_TRAIN = ByName("route_id", "train_id", "train", "route_id")
 _TICKET_TYPE = ByName("ticket_type_name", "ticket_type_id", "ticket_type", "name")
 
 TRANSIT_STEPS = (
@@ -100,7 +103,7 @@ TRANSIT_STEPS = (
     LoadStep("train", ("source_key",), (_ROUTE,)),
     LoadStep("line", ("route_id", "station_id"), (_ROUTE, _STATION)),
     LoadStep("operating_frequency", ("route_id", "station_id", "first_arrival", "interval_minutes"), (_ROUTE, _STATION)),
-    LoadStep("employee", ("source_key",), (_STATION,)),
+    LoadStep("employee", ("source_key",), (_STATION, _ROUTE, _TRAIN)),
     LoadStep("card", ("number",)),
     LoadStep("boarding_pass", ("name",)),
     LoadStep("discount", ("name",)),
@@ -113,12 +116,15 @@ TRANSIT_STEPS = (
         "customer_boarding_pass", ("customer_id", "boarding_pass_id", "start_date", "end_date"),
         (_CUSTOMER, ByName("pass_name", "boarding_pass_id", "boarding_pass", "name")),
     ),
-    LoadStep("balance", ("account_id",)),
+    LoadStep("balance", ("account_id",), (_CUSTOMER, _ACCOUNT)),
     LoadStep(
         "discount_ticket_type", ("ticket_type_id", "discount_id"),
         (_TICKET_TYPE, ByName("discount_name", "discount_id", "discount", "name")),
     ),
-    LoadStep("account_card", ("account_id", "card_id")),
+    LoadStep(
+        "account_card", ("account_id", "card_id"),
+        (_CUSTOMER, _ACCOUNT, ByName("card_number", "card_id", "card", "number")),
+    ),
     LoadStep(
         "ticket", ("source_key",),
         (_TICKET_TYPE, _CUSTOMER, _STATION, ByName("payment_method_name", "payment_method_id", "payment_method", "name")),
@@ -129,9 +135,13 @@ TRANSIT_STEPS = (
 def load_table(
     tables: Mapping[str, DataFrame], definition: TableDef, step: LoadStep, rows: DataFrame
 ) -> writes.Change:
-    """Insert ``rows`` into one table."""
+    """Insert ``rows`` into one table. Rows that hold a key instead of a parent's name keep it."""
     rows = writes.with_defaults(rows, {**definition.defaults, **step.defaults})
     for lookup in step.lookups:
+        if lookup.name not in rows.columns and lookup.into in rows.columns:
+            continue
+        if lookup.name not in rows.columns and any(other.name == lookup.into for other in step.lookups):
+            continue
         parent = tables[lookup.parent]
         rows = writes.resolve_name(
             rows, lookup.name, parent, lookup.parent_name, parent.columns[0], lookup.into

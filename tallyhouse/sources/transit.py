@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from tallyhouse.sources.schemas import TableDef
 from tallyhouse.sources.tables import Tables
 
-# Names, types, keys and checks of the transit tables.
+# Types, keys and checks of the transit tables; column names are without the tables' prefixes.
 TRANSIT = (
     TableDef(
         "repair_status_code", "id STRING, name VARCHAR(50), description STRING", ("id",), numbered=False,
@@ -202,6 +202,7 @@ TRANSIT_ROWS = {
         SELECT c_custkey AS source_key, c_name AS first_name, c_mktsegment AS surname,
                'P' || CAST(c_custkey - c_custkey % 2 * (c_custkey % 10) AS STRING) AS passport_id, 300000 AS salary,
                'Stop ' || CAST(c_custkey % 90 AS STRING) AS station_name,
+               CASE WHEN c_nationkey % 4 <> 1 THEN 'NATION_' || CAST(c_nationkey AS STRING) END AS route_name,
                CASE WHEN c_nationkey % 2 = 0 THEN 'e' || CAST(c_custkey % 700 AS STRING) || '@transit.example' END AS email
         FROM {customer}""",
     "card": "SELECT '1' || c_name AS number, c_name AS full_holder_name, 123 AS cvv, make_date(2027, 1, 1) AS expiry_date FROM {customer}",
@@ -218,6 +219,10 @@ TRANSIT_ROWS = {
         SELECT c_mktsegment AS customer_type, r_name || ' pass' AS pass_name, make_date(2025, 1, 1) AS start_date,
                make_date(2025, 1, 31) AS end_date
         FROM {customer} JOIN {region} ON r_regionkey = c_nationkey % 5""",
+    "balance": """
+        SELECT c_mktsegment AS customer_type, max(CAST(c_acctbal AS DECIMAL(10,2))) AS remaining_balance
+        FROM {customer} GROUP BY c_mktsegment""",
+    "account_card": "SELECT c_mktsegment AS customer_type, '1' || c_name AS card_number FROM {customer}",
     "discount_ticket_type": """
         SELECT DISTINCT o_orderpriority AS ticket_type_name, r_name AS discount_name
         FROM {orders} JOIN {region} ON r_regionkey = length(o_orderpriority) % 5""",
