@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.tables import OWN, buckets, read, widened, without
+from tallyhouse.llm.tables import OWN, bounded_batches, buckets, read, widened, without
 from tallyhouse.llm.wordspans import Words, chunks, find_words, mix, rolling
 
 WINDOW = 13
@@ -235,6 +235,7 @@ def _cut(window: int, text: str, names: list[str]):
 def cut_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text (kept words joined by one space)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     parts = buckets(spark)
     docs = without(docs, ["n_words", "n_removed", "kept_text"])
     # Two rows of one doc_id with different texts are told apart by 15 bits of the text's hash.

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.labelled import sample
-from tallyhouse.llm.tables import read, settle
+from tallyhouse.llm.tables import bounded_batches, read, settle
 from tallyhouse.llm.wordspans import buffer_of, chunks
 
 SAMPLE = 4_000
@@ -154,6 +154,7 @@ def held_out(doc_id: Column) -> Column:
 
 def score(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, score (0 to 1) and predicted (0 or 1)."""
+    bounded_batches(docs.sparkSession)
     plain_docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     picked = settle(sample(labels, label, SAMPLE, learn_from))
     known = settle(plain_docs.join(F.broadcast(picked), "doc_id").select("text", "label"))

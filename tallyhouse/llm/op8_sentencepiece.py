@@ -32,7 +32,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.tables import read, widened, without
+from tallyhouse.llm.tables import bounded_batches, read, widened, without
 from tallyhouse.llm.wordspans import chunks
 
 MODEL = "piece_bpe_32k.model"
@@ -175,6 +175,7 @@ def transducer(model: str) -> Transducer:
 
 def encode(docs: DataFrame, text: str = "text", model: str = MODEL) -> DataFrame:
     """``docs`` with ids (array<int>) and n_ids (long), which replace columns of the same name."""
+    bounded_batches(docs.sparkSession)
     docs = without(docs, ["ids", "n_ids"])
     names = docs.columns
 
@@ -191,6 +192,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL) -> DataFrame
 
 def decode(rows: DataFrame, ids: str = "ids", name: str = "decoded", model: str = MODEL) -> DataFrame:
     """``rows`` with the text of their ids; null ids give null, no ids the empty text."""
+    bounded_batches(rows.sparkSession)
     rows = without(rows, [name])
     names = rows.columns
 

@@ -10,6 +10,9 @@ from tallyhouse.session import shared_folder
 
 #: Prefix of helper columns. A column of a caller's table that begins so is not supported.
 OWN = "_llm_"
+#: Bytes of rows that Spark hands to a Python worker at once, unless the session names a limit.
+ARROW_BYTES = "4m"
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +20,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Long texts make large batches, in the JVM and in the worker: limit them by bytes, not by rows alone."""
+    if spark.conf.get(_ARROW_LIMIT, None) is None:
+        spark.conf.set(_ARROW_LIMIT, ARROW_BYTES)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """The rows as a checkpoint in the shared folder: computed once, safe from lost executors."""
     shared_folder(df.sparkSession)

@@ -152,6 +152,13 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, rows: int = CHUNK_ROWS,
             last = min(first + rows, max(first + 1, int(np.searchsorted(ends, before + size, side="right"))))
             yield batch.slice(first, last - first)
             first = last
+    let_go()
+
+
+def let_go() -> None:
+    """Give freed memory back to the system, so that a worker that waits for its next task is small."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
 
 
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
