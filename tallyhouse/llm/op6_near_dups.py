@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
-from tallyhouse.llm.tables import read, settle
-from tallyhouse.llm.wordspans import CHUNK_ROWS, KEY_BITS, chunks, find_words, mix
+from tallyhouse.llm.tables import bounded_batches, read, settle
+from tallyhouse.llm.wordspans import CHUNK_BYTES, CHUNK_ROWS, KEY_BITS, chunks, find_words, let_go, mix
 
 TABLES_ROOT = 14
 ROWS = 4
@@ -41,6 +41,8 @@ SHINGLE = 2
 PERCENT = 80
 #: Documents of a cluster that are compared as one block.
 BLOCK = 256
+#: Shingles of a block: one of long documents holds fewer.
+BLOCK_SHINGLES = 1 << 20
 _SHIFT = np.uint64(64) - KEY_BITS
 
 
@@ -114,6 +116,7 @@ def _tables(root: int):
                     [pa.array(key.view(np.int64)), pa.array(ids[owner]), pa.array(leader, mask=fresh)],
                     names=["key", "id", "leader"],
                 )
+        let_go()
 
     return run
 
@@ -125,14 +128,25 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.array(texts, pa.binary())], names=["id", "n", "packed"])
 
 
+def _unpacked_bound(batch: pa.RecordBatch, *columns: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of bounded bytes once unpacked; one longer pair still goes whole."""
+    size = zstandard.frame_content_size
+    ends = np.cumsum([sum(size(batch.column(c)[i].as_buffer()) for c in columns) for i in range(batch.num_rows)])
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = min(first + 256, max(first + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, side="right"))))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _confirm(size: int, percent: int):
     """Pairs whose full sets are similar enough; both texts of a pair come with it, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in _unpacked_bound(batch, "packed_a", "packed_b"):
                 sets = []
                 for name in ("packed_a", "packed_b"):
                     texts = pa.array([unpack(x.as_buffer()) for x in part.column(name)], pa.large_binary())
@@ -144,6 +158,7 @@ def _confirm(size: int, percent: int):
                 common = np.bincount((twice >> KEY_BITS).astype(np.int64), minlength=part.num_rows)
                 linked = (common > 0) & (100 * common >= percent * (sizes - common))
                 yield part.select(["a", "b"]).filter(pa.array(linked))
+        let_go()
 
     return run
 
@@ -212,9 +227,10 @@ def _rest(members: DataFrame, texts: DataFrame, labels: DataFrame, size: int, pe
     dealt = settle(
         cluster.join(texts.select("id", "n"), "id")
         .join(named, "id", "left")
-        .select("cluster", "id", F.coalesce("component", "id").alias("component"), band.alias("band"))
+        .select("cluster", "id", F.coalesce("component", "id").alias("component"), "n", band.alias("band"))
     )
-    blocks = dealt.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    many = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    blocks = dealt.groupBy("cluster", "band").agg(many.cast("int").alias("blocks"))
     near = blocks
     for name, step in (("below", -1), ("above", 1)):
         near = near.join(blocks.select("cluster", (F.col("band") - step).alias("band"), F.col("blocks").alias(name)), ["cluster", "band"], "left")
@@ -249,6 +265,7 @@ def near_duplicates(
     rows: int = ROWS,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, n_shingles, component_id, kept (first of its component)."""
+    bounded_batches(docs.sparkSession)
     plain = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     sketches = settle(plain.mapInArrow(_sketch(shingle, root, rows), "id long, n long, mark1 long, mark2 long, hands array<long>"))
     marks = ["n", "mark1", "mark2"]
