@@ -5,11 +5,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import quality
 from tallyhouse.plans import balance, films, revenue, stock, visits
 from tallyhouse.session import fresh_path, shared_folder
 from tallyhouse.sources import sinks
-from tallyhouse.sources.museum import museum_tables
+from tallyhouse.sources.museum import MUSEUM, museum_tables
 from tallyhouse.sources.rental import rental_tables
+from tallyhouse.sources.schemas import rules_of
 from tests.conftest import ts
 
 FOLDER = "/root/testdata/sf0.001"
@@ -160,3 +162,11 @@ def test_hot_exhibition(spark, table, hot):
 def test_museum_visits_scan_by_plain_comparison(spark):
     text = plan(visits.latest_quarter_visits(museum_tables(spark, FOLDER)))
     assert "Subquery" in text and "o_orderdate" in text
+
+
+def test_constraint_report_scans_each_table_once(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    text = plan(quality.constraint_report(museum_tables(spark, FOLDER), rules_of(MUSEUM)))
+    assert text.count("FileScan parquet") == len(MUSEUM)
+    # two views are distinct rows; the report itself groups by rule and key, then by rule
+    assert text.count("Exchange hashpartitioning") == 4
