@@ -7,7 +7,10 @@ other punctuation, and obfuscation (letters mixed with digits or signs; such wor
 out). One pass over whole texts makes them; trees and calibration are Spark ML over the sample's features.
 A part of the sample, chosen by hash, calibrates and grows no tree.
 
-The sample has at most ``SAMPLE`` documents of each label. Labels come only from rows that ``learn_from``
+The sample has at most ``SAMPLE`` documents of each label. Trees and calibration weigh each by the documents
+of its label that it stands for, so a score is a share of all labelled documents at every size. The lexicon
+compares shares within each label, which the mix of labels does not change; its counts stay those of
+documents seen, since the smoothing of rare words rests on them. Labels come only from rows that ``learn_from``
 keeps. With one label only, every score is that label's share; without labels 0. With too few rows to
 calibrate, the trees' own probability is the score.
 
@@ -168,7 +171,7 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     if not total[0] or not total[1]:
         return done.withColumn("score", F.lit(float(total[1] > 0))).withColumn("predicted", F.col("score").cast("int"))
     calibrated = min(n.get((c, k), 0) for c in (False, True) for k in (0, 1)) >= 5
-    trees = GBTClassifier(labelCol="label", maxIter=15, maxDepth=3, maxBins=64, stepSize=0.3, seed=7)
+    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=15, maxDepth=3, maxBins=64, stepSize=0.3, seed=7)
     model = trees.fit(rows.where(~F.col("calibrates")) if calibrated else rows)
 
     def raw(df: DataFrame) -> DataFrame:
@@ -176,7 +179,7 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
 
     scored = raw(features)
     if calibrated:
-        steps = IsotonicRegression(featuresCol="p", labelCol="label").fit(raw(rows.where("calibrates")).withColumn("label", F.col("label").cast("double")))
+        steps = IsotonicRegression(featuresCol="p", labelCol="label", weightCol="weight").fit(raw(rows.where("calibrates")).withColumn("label", F.col("label").cast("double")))
         # A share of the trees' own probability orders the rows within one step.
         scored = steps.transform(scored).withColumn("p", 0.95 * F.col("prediction") + 0.05 * F.col("p"))
     scored = scored.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("p"))).alias("score"))

@@ -1,3 +1,4 @@
+from tallyhouse.llm import op5_toxicity
 from tallyhouse.llm.op5_toxicity import crc_fold, op5_boosted_toxicity, plain, score
 from tallyhouse.llm.tables import read
 
@@ -30,3 +31,15 @@ def test_disguised_words_are_spelled_out():
     assert plain("id1ot!") == ("idiot", True)
     assert plain("i.d.i.o.t") == ("idiot", True)
     assert plain("word,") == ("word", False)
+
+
+def test_scores_are_shares_of_all_labels_when_the_sample_is_full(spark, monkeypatch):
+    """A quarter of the loud documents are toxic; a sample of equal classes would see nine in ten."""
+    monkeypatch.setattr(op5_toxicity, "SAMPLE", 200)
+    kinds = ["loud toxic"] * 300 + ["loud clean"] * 900 + ["calm clean"] * 4800
+    docs = spark.createDataFrame([(i, "well then " + ("!!! " * 9 if k[0] == "l" else "so ")) for i, k in enumerate(kinds)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k.endswith("toxic"))) for i, k in enumerate(kinds)], "doc_id long, toxic int")
+    rows = score(docs, labels).collect()
+    loud = {r.score for r in rows if r.doc_id < 1200}
+    assert all(0.15 < s < 0.4 for s in loud), loud
+    assert not any(r.predicted for r in rows)
