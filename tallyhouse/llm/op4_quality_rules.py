@@ -6,7 +6,9 @@ it is precise there; the documents it covers go, and the next rule is grown. The
 CASE expression, so that scoring is native. Statistics are of whole texts; hashes of word windows are
 compared with 64 bits.
 
-The sample is bounded: at most ``SAMPLE`` documents of each label (see labelled.sample). Without labels of
+The sample is bounded: at most ``SAMPLE`` documents of each label (see labelled.sample). Its good documents
+are weighed against its bad ones so that the mix is that of all labels, and precise means the same at every
+size. Without labels of
 both kinds there are no rules.
 
 Defined results: null text has no words. A null doc_id gets its statistics and a verdict as any other.
@@ -130,11 +132,11 @@ def covers(rule: Rule, x: dict[str, np.ndarray], n: int) -> np.ndarray:
     return held
 
 
-def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int, cuts: int) -> Rule:
+def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int, cuts: int, good_weight: float) -> Rule:
     rule: Rule = ()
     held = np.ones(len(bad), dtype=bool)
     while len(rule) < longest and (held & ~bad).any():
-        p, n = int((held & bad).sum()), int((held & ~bad).sum())
+        p, n = int((held & bad).sum()), good_weight * int((held & ~bad).sum())
         best, gain = None, 1e-9
         for name, values in x.items():
             levels = np.unique(np.quantile(values[held & bad], np.linspace(0, 1, cuts)))
@@ -142,7 +144,7 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int, cuts: int) ->
                 for above in (True, False):
                     c = Condition(name, above, bound)
                     now = held & c.holds(x)
-                    q, m = int((now & bad).sum()), int((now & ~bad).sum())
+                    q, m = int((now & bad).sum()), good_weight * int((now & ~bad).sum())
                     if q and (g := q * (np.log2(q / (q + m)) - np.log2(p / (p + n)))) > gain:
                         best, gain = c, g
         if best is None:
@@ -152,24 +154,28 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int, cuts: int) ->
     return rule
 
 
-def learn(x: dict[str, np.ndarray], bad: np.ndarray, longest: int = 4, most: int = 24, precise: float = 0.9, cuts: int = 24) -> list[Rule]:
-    """Ordered rules for ``bad``. Rows alternate between growing (two of three) and pruning."""
+def learn(x: dict[str, np.ndarray], bad: np.ndarray, longest: int = 4, most: int = 24, precise: float = 0.9, cuts: int = 24, good_weight: float = 1.0) -> list[Rule]:
+    """Ordered rules for ``bad``. Rows alternate between growing (two of three) and pruning.
+
+    A row that is not bad counts ``good_weight`` times one that is.
+    """
     rules: list[Rule] = []
     grow = np.arange(len(bad)) % 3 != 0
     left = np.ones(len(bad), dtype=bool)
     while len(rules) < most and (left & grow & bad).any():
         of = left & grow
-        rule = _grow({k: v[of] for k, v in x.items()}, bad[of], longest, cuts)
+        rule = _grow({k: v[of] for k, v in x.items()}, bad[of], longest, cuts, good_weight)
 
         def worth(r: Rule, of=left & ~grow) -> float:
             held = covers(r, x, len(bad)) & of
-            p, n = int((held & bad).sum()), int((held & ~bad).sum())
+            p, n = int((held & bad).sum()), good_weight * int((held & ~bad).sum())
             return (p - n) / (p + n) if p + n else -1.0
 
         options = [rule[:k] for k in range(1, len(rule) + 1)]
         rule = max(options, key=lambda r: (worth(r), -len(r)), default=())
         held = covers(rule, x, len(bad)) & left
-        if not rule or worth(rule) < 2 * precise - 1 or (held & bad).sum() < precise * held.sum():
+        p, n = int((held & bad).sum()), good_weight * int((held & ~bad).sum())
+        if not rule or worth(rule) < 2 * precise - 1 or p < precise * (p + n):
             break
         rules.append(rule)
         left &= ~held
@@ -190,10 +196,11 @@ def verdict(rules: list[Rule]) -> Column:
 def learn_rules(counts: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = SAMPLE) -> list[Rule]:
     """Rules that drop documents like those of label 0, from a bounded sample of labelled counts."""
     picked = F.broadcast(sample(labels, label, per_class))
-    known = counts.join(picked, "doc_id").select("doc_id", "label", *(F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()))
+    known = counts.join(picked, "doc_id").select("doc_id", "label", "weight", *(F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()))
     one = known.dropDuplicates(["doc_id"]).toPandas()  # at most 2 * per_class rows
     one = one.assign(at=(one["doc_id"] * 2654435761) % (1 << 32)).sort_values(["at", "doc_id"])
-    return learn({n: one[n].to_numpy() for n in FEATURES}, (one["label"] == 0).to_numpy())
+    weights = dict(zip(one["label"], one["weight"], strict=True))
+    return learn({n: one[n].to_numpy() for n in FEATURES}, (one["label"] == 0).to_numpy(), good_weight=weights.get(1, 1.0) / weights.get(0, 1.0))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

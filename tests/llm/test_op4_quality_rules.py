@@ -3,8 +3,9 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tallyhouse.llm.op4_quality_rules import FEATURES, judge, learn, learn_rules, op4_decision_list, statistics
+from tallyhouse.llm.op4_quality_rules import COUNTS, FEATURES, judge, learn, learn_rules, op4_decision_list, statistics
 from tallyhouse.llm.tables import read
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,3 +74,13 @@ def test_query(spark):
     rows = op4_decision_list(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200
     assert all(not (r.kept and r.base_failed) for r in rows)
+
+
+def test_a_rule_is_as_precise_on_all_labels_as_on_the_sample(spark):
+    """Half of the documents with many digits are good: no rule, even where the sample has 19 bad ones to each good."""
+    many = spark.range(6300).selectExpr("id AS doc_id", "id < 600 AS digits", "int(id >= 300) AS quality")
+    counts = many.select("doc_id", *(F.when(F.col("digits"), 50).otherwise(0).alias(c) if c == "n_digits" else F.lit(100).alias(c) for c in COUNTS))
+    labels = many.select("doc_id", "quality")
+    assert learn_rules(counts, labels) == []
+    assert learn_rules(counts, labels, per_class=300) == []
+    assert learn_rules(counts, labels.where("quality = 0 OR doc_id >= 600"), per_class=300)
