@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.llm.tables import read, widened, without
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)", re.S)
-_NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:until|false))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 _WORD = re.compile(r"[a-z]+")
 _GAP = re.compile(r"\s+")
 #: Content of these is no text of the page.
@@ -72,6 +72,22 @@ class Block:
     tags: list[str] = field(default_factory=list)
 
 
+def attributes_of(raw: str) -> dict[str, str]:
+    """Lower-case attribute name -> value, empty if it has none. Of equal names the first counts."""
+    out: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), double or single or bare)
+    return out
+
+
+def hides(attributes: dict[str, str]) -> bool:
+    """Whether an element with these attributes is not shown."""
+    if "hidden" in attributes and not attributes["hidden"].strip().lower().startswith(("until", "false")):
+        return True
+    shown = _DISPLAY.findall(attributes.get("style", ""))
+    return attributes.get("aria-hidden", "").strip().lower() == "true" or bool(shown and shown[-1].lower() == "none")
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks of visible text in page order."""
     out: list[Block] = []
@@ -130,14 +146,15 @@ def blocks_of(page: str) -> list[Block]:
                     break
             flush()
         above = open_[-1]
-        words = {w for a in _NAMES.findall(m[3]) for w in _WORD.findall("".join(a).lower())} if m[3] else ()
+        attributes = attributes_of(m[3]) if m[3] else {}
+        words = {w for a in ("class", "id", "role") if a in attributes for w in _WORD.findall(attributes[a].lower())}
         weight = TAGS.get(tag, 0.0)
         if tag == "header" and any(n.tag == "article" for n in open_):
             weight = -0.5
         if words:
             weight += BAD_WEIGHT if BAD.intersection(words) else GOOD_WEIGHT if GOOD.intersection(words) and tag in BLOCK else 0.0
         count += 1
-        hidden = above.silent or tag in SILENT or bool(m[3] and _HIDDEN.search(m[3]))
+        hidden = above.silent or tag in SILENT or bool(attributes and hides(attributes))
         if m[3].endswith("/") and tag not in BLOCK:
             continue
         open_.append(Node(tag, weight, hidden, above.link or tag == "a", count))

@@ -3,6 +3,8 @@ import itertools
 import random
 import re
 
+import pytest
+
 from tallyhouse.llm.op3_main_text import extract, main_text, minimum_cut, op3_min_cut_text
 from tallyhouse.llm.tables import read
 
@@ -51,3 +53,17 @@ def test_odd_rows(spark):
     assert got[1] == got[2] == "" and got[None].startswith("A long paragraph")
     assert got[4].startswith("no tags")
     assert extract(pages.limit(0)).count() == 0
+
+
+STORY = "The first paragraph of the story is long enough to be text. It goes on for a while."
+
+
+@pytest.mark.parametrize("attribute", ['style="overflow:hidden"', 'title="the hidden city"', "data-hidden=1", 'style="display:none;display:block"', 'data-style="display:none"'])
+def test_the_word_hidden_elsewhere_hides_nothing(attribute):
+    for tag in ("article", "main", "div", "body"):
+        assert main_text(f"<{tag} {attribute}><article><p>{STORY}</p></article></{tag}>") == STORY
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=hidden", 'hidden=""', "aria-hidden='true'", 'style="color:red; display : none"'])
+def test_hidden_elements_stay_out(attribute):
+    assert main_text(f"<article><p>{STORY}</p><div {attribute}><p>{STORY} Not shown.</p></div></article>") == STORY
