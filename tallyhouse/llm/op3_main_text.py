@@ -7,6 +7,9 @@ smoothness edges. The minimum cut, by augmenting paths, labels all blocks of the
 content side, in page order, are the text. Text that no reader sees (scripts, styles, forms, comments of the
 markup) never becomes a block. A page is a row and its graph is small; rows are independent.
 
+Class words that mark boilerplate never count on html, body, main and an article that is in no other article,
+nor on an element that holds most of the page's text (the text of its articles, if it has any): see ``judge_names``.
+
 Inside a block, white space (line breaks too) becomes one space; character references are decoded.
 Defined results: null or empty html gives the empty text. Broken markup is read to its end.
 """
@@ -50,6 +53,13 @@ BAD = frozenset(
     "breadcrumbs cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup login form search share sharing social comment "
     "comments reply replies disqus respond discussion related recommended widget toolbar pagination pager tags copyright legal disclaimer skip hidden".split()
 )
+#: Names of what readers write: these may be most of a page and still not be its text.
+REPLIES = frozenset("comment comments reply replies disqus respond discussion".split())
+#: In a hyphenated name these say nothing against its other words: site-footer is a footer, no-sidebar is no sidebar.
+PLAIN = GOOD | frozenset(
+    "site left right top bottom upper lower inner outer primary secondary global mobile desktop sticky fixed box wrap wrapper container holder list item items "
+    "link links block area section title label icon button btn group row col column panel unit slot bar web blog".split()
+)
 GOOD_WEIGHT, BAD_WEIGHT = 2.0, -12.0
 ADJACENT, SIBLING = 0.35, 0.35
 
@@ -61,6 +71,12 @@ class Node:
     silent: bool = False
     link: bool = False
     number: int = 0
+    good: float = 0.0
+    bad: bool = False
+    replies: bool = False
+    nested: bool = False
+    story: int = 0
+    size: int = 0
 
 
 @dataclass
@@ -88,9 +104,55 @@ def hides(attributes: dict[str, str]) -> bool:
     return attributes.get("aria-hidden", "").strip().lower() == "true" or bool(shown and shown[-1].lower() == "none")
 
 
+def named(names: list[str]) -> tuple[bool, bool, bool]:
+    """Whether the names of an element speak for content, for boilerplate, and for readers' replies.
+
+    A hyphenated name speaks for boilerplate if its words all do, but for plain ones, and no name of one word
+    speaks for content.
+    """
+    parts = [w for n in names if (w := _WORD.findall(n))]
+    single = {w[0] for w in parts if len(w) == 1}
+    joined = [w for w in parts if len(w) > 1 and not BAD.isdisjoint(w) and all(x in BAD or x in PLAIN for x in w)]
+    bad = bool(BAD & single) or bool(joined and not GOOD & single)
+    replies = bad and (bool(REPLIES & single) or any(not REPLIES.isdisjoint(w) for w in joined))
+    return any(x in GOOD for w in parts for x in w), bad, replies
+
+
+def judge_names(blocks: list[Block], above: list[list[Node]]) -> None:
+    """Add the weights of element names to the blocks below them (``above``: the open elements of each)."""
+    if any(n.bad for nodes in above for n in nodes):
+        told = 0
+        boiler = [any(TAGS.get(n.tag, 0.0) <= -9.0 and n.weight < -1 for n in nodes) for nodes in above]
+        for b, nodes, no in zip(blocks, above, boiler, strict=True):
+            if not no and any(n.tag in ("article", "main") and not n.bad for n in nodes):
+                told += len(b.text)
+                for n in nodes:
+                    n.story += len(b.text)
+        page = 0
+        for b, nodes, no in zip(blocks, above, boiler, strict=True):
+            # With articles on the page, elements of bad names that hold none of them are not its text.
+            if not no and not (told and any(n.bad and not n.story for n in nodes)):
+                page += len(b.text)
+                for n in nodes:
+                    n.size += len(b.text)
+        for n in {id(n): n for nodes in above for n in nodes if n.bad}.values():
+            own = n.tag in ("html", "body", "main") or (n.tag == "article" and not n.nested)
+            most = 2 * n.size > page and (2 * n.story > told if told else not n.replies)
+            n.bad = not own and not most
+        stories = [nodes for nodes, no in zip(above, boiler, strict=True) if not no and any(n.story and n.tag in ("article", "main") and not n.bad for n in nodes)]
+        if stories and all(any(n.bad for n in nodes) for nodes in stories):
+            # A list of articles, each below a bad name: no article is left outside, so these hold the text.
+            for nodes in stories:
+                for n in nodes:
+                    n.bad = n.bad and not n.story
+    for b, nodes in zip(blocks, above, strict=True):
+        b.weight += sum(BAD_WEIGHT if n.bad else n.good for n in nodes)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks of visible text in page order."""
     out: list[Block] = []
+    held_by: list[list[Node]] = []
     open_: list[Node] = [Node("")]
     parts: list[str] = []
     linked, count = 0, 0
@@ -102,6 +164,7 @@ def blocks_of(page: str) -> list[Block]:
             holder = next((n for n in reversed(open_) if n.tag in BLOCK), open_[0])
             above = next((n for n in reversed(open_[: open_.index(holder)]) if n.tag in BLOCK), open_[0])
             out.append(Block(text, above.number, sum(n.weight for n in open_), linked / len(text), [n.tag for n in open_]))
+            held_by.append(open_[:])
         parts.clear()
         linked = 0
 
@@ -147,23 +210,24 @@ def blocks_of(page: str) -> list[Block]:
             flush()
         above = open_[-1]
         attributes = attributes_of(m[3]) if m[3] else {}
-        words = {w for a in ("class", "id", "role") if a in attributes for w in _WORD.findall(attributes[a].lower())}
+        names = [n for a in ("class", "id", "role") if a in attributes for n in attributes[a].lower().split()]
         weight = TAGS.get(tag, 0.0)
         if tag == "header" and any(n.tag == "article" for n in open_):
             weight = -0.5
-        if words:
-            weight += BAD_WEIGHT if BAD.intersection(words) else GOOD_WEIGHT if GOOD.intersection(words) and tag in BLOCK else 0.0
+        good, bad, replies = named(names) if names else (False, False, False)
         count += 1
         hidden = above.silent or tag in SILENT or bool(attributes and hides(attributes))
         if m[3].endswith("/") and tag not in BLOCK:
             continue
-        open_.append(Node(tag, weight, hidden, above.link or tag == "a", count))
+        nested = bad and tag == "article" and any(n.tag == "article" for n in open_)
+        open_.append(Node(tag, weight, hidden, above.link or tag == "a", count, GOOD_WEIGHT if good and tag in BLOCK else 0.0, bad, replies, nested))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             open_.pop()
     add(page[at:])
     flush()
+    judge_names(out, held_by)
     return out
 
 

@@ -67,3 +67,29 @@ def test_the_word_hidden_elsewhere_hides_nothing(attribute):
 @pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=hidden", 'hidden=""', "aria-hidden='true'", 'style="color:red; display : none"'])
 def test_hidden_elements_stay_out(attribute):
     assert main_text(f"<article><p>{STORY}</p><div {attribute}><p>{STORY} Not shown.</p></div></article>") == STORY
+
+
+@pytest.mark.parametrize(
+    "opening",
+    [
+        '<body class="right-sidebar"><article>', '<body><div class="content no-sidebar"><article>', '<body><div class="page hidden-nav"><article>',
+        '<body><article class="post tags-news comments-open">', '<body><div class="sidebar menu"><article>', '<body class="ads"><main id="search">',
+        '<body><div class="content sidebar">', '<body><div class="page hidden-nav">', '<body><article class="overflow-hidden">', '<html class="no-js modal-open"><article>',
+    ],
+)
+def test_names_on_wrappers_do_not_lose_the_article(opening):
+    page = f"{opening}<h1>Heading</h1><p>{STORY}</p><p>{STORY} Again.</p><div class='share-links'>Tell all your friends about it today.</div>"
+    assert main_text(page) == f"Heading\n{STORY}\n{STORY} Again."
+
+
+@pytest.mark.parametrize("name", ["comments", "site-footer", "nav-menu", "left-sidebar", "ad-box", "post-comments", "widget-3", "cookie_notice"])
+def test_boilerplate_names_still_drop_their_elements(name):
+    story = f"<article><p>{STORY}</p></article>"
+    for inner in (f"<p>{STORY}</p>" * 9, f"<article class='comment'><p>{STORY} Mine.</p></article>" * 3):
+        assert main_text(f"<body class='right-sidebar'>{story}<div class='{name}'>{inner}</div>") == STORY
+    assert main_text(f"<div><p>{STORY}</p></div><div class='comments'>" + f"<p>{STORY} Mine.</p>" * 9 + "</div>") == STORY
+
+
+def test_a_list_of_articles_below_bad_names():
+    page = "".join(f"<div class='share'><article><p>{STORY} {k}.</p></article></div>" for k in "abc")
+    assert main_text(f"<body>{page}") == "\n".join(f"{STORY} {k}." for k in "abc")
