@@ -5,6 +5,10 @@ pairs. Consecutive windows that share it travel as one packed string to the buck
 equal windows have equal minimisers, so they meet there, and sorting brings them side by side. Bytes
 are compared, not only hashes.
 
+A first pass counts the text and the word pairs. Pairs found more than ``HOT`` times are no minimisers, so that
+none draws a share of all windows to one bucket; a window of such pairs only goes by its least and greatest pair.
+Buckets are as many as the counted bytes need.
+
 Before anything travels, each chunk of documents settles what it can alone: of equal windows only those
 of its smallest document go on, since the others are known to repeat. So a passage that a third of all
 documents share sends one copy per chunk. Travelling strings are packed by bucket and compressed.
@@ -25,27 +29,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.tables import OWN, bounded_batches, buckets, read, widened, without
-from tallyhouse.llm.wordspans import Words, chunks, find_words, mix, rolling
+from tallyhouse.llm.wordspans import Words, buffer_of, chunks, find_words, mix, rolling
 
 WINDOW = 13
+#: Word pairs found more often than this are no minimisers; ones found less than ``SEEN`` times in a chunk are not counted.
+HOT, SEEN = 100_000, 16
+#: Bytes of text for each bucket.
+BUCKET_BYTES = 16 << 20
 _ID, _SIG, _SPANS = f"{OWN}id", f"{OWN}sig", f"{OWN}spans"
 _PACKED = "bucket int, settled boolean, ids binary, sigs binary, firsts binary, counts binary, words binary"
 _FOUND = "id long, sig int, first int, n int"
 _RESULT = "n_words long, n_removed long, kept_text string"
 
 
-def _least_pair(words: np.ndarray, window: int) -> np.ndarray:
-    """For each place, the least hash of the word pairs in the window that starts there."""
-    if window == 1:
-        return words
-    least = mix(words[:-1] * np.uint64(3) + words[1:])
-    span, want = 1, window - 1
+def _pairs(words: np.ndarray, window: int) -> np.ndarray:
+    """Hashes of the word pairs; of the words if windows have no pair."""
+    return words if window == 1 else mix(words[:-1] * np.uint64(3) + words[1:])
+
+
+def _over_window(values: np.ndarray, window: int, pick: np.ufunc) -> np.ndarray:
+    """For each place, the least (or greatest) of the pairs in the window that starts there."""
+    span, want = 1, max(1, window - 1)
     while span * 2 <= want:
-        least = np.minimum(least[:-span], least[span:])
+        values = pick(values[:-span], values[span:])
         span *= 2
     if want > span:
-        least = np.minimum(least[: len(least) - (want - span)], least[want - span :])
-    return least
+        values = pick(values[: len(values) - (want - span)], values[want - span :])
+    return values
+
+
+def _minimiser(words: np.ndarray, window: int, hot: np.ndarray) -> np.ndarray:
+    """For each place, the least hash of a pair that is not hot; if all are, a hash of the least and the greatest."""
+    pairs = _pairs(words, window)
+    least = _over_window(pairs, window, np.minimum)
+    if not len(hot):
+        return least
+    none = np.uint64((1 << 64) - 1)
+    cool = _over_window(np.where(np.isin(pairs, hot), none, pairs), window, np.minimum)
+    return np.where(cool == none, mix(least * np.uint64(3) + _over_window(pairs, window, np.maximum)), cool)
+
+
+def _count_pairs(window: int, seen: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches, "text"):
+            _, at = buffer_of(chunk.column("text"))
+            hashes = find_words(chunk.column("text")).hashes()
+            pair, n = np.unique(_pairs(hashes, window), return_counts=True) if len(hashes) > 1 else (hashes[:0], np.zeros(0, np.int64))
+            pair, n = pair[n >= seen].view(np.int64), n[n >= seen]
+            # The row without a pair has the bytes of the chunk.
+            yield pa.RecordBatch.from_arrays([pa.array([None, *pair.tolist()], pa.int64()), pa.array([int(at[-1] - at[0]), *n.tolist()], pa.int64())], names=["pair", "n"])
+
+    return run
 
 
 def _repeats(order: np.ndarray, key: np.ndarray, owner: np.ndarray, text: bytes, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -68,7 +102,7 @@ def _repeats(order: np.ndarray, key: np.ndarray, owner: np.ndarray, text: bytes,
     return found
 
 
-def _pack(window: int, parts: int):
+def _pack(window: int, parts: int, hot: np.ndarray):
     """Map side: settle windows that repeat within the chunk, pack the rest by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +149,7 @@ def _pack(window: int, parts: int):
                 emit(int(ids[0]) % parts, True, of[begin], end - begin, b"")
             of = ok[~known]
             if len(of):
-                least = _least_pair(hashes, window)[of]
+                least = _minimiser(hashes, window, hot)[of]
                 begin, end = stretches(of, least)
                 bucket = (least[begin] % np.uint64(parts)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
@@ -236,15 +270,16 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", t
     """``docs`` with n_words, n_removed and kept_text (kept words joined by one space)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    parts = buckets(spark)
     docs = without(docs, ["n_words", "n_removed", "kept_text"])
     # Two rows of one doc_id with different texts are told apart by 15 bits of the text's hash.
     sig = F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 15)).cast("int")
-    packed = (
-        docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull())
-        .select(F.col(doc_id).cast("long").alias("id"), sig.alias("sig"), F.col(text).alias("text"))
-        .mapInArrow(_pack(window, parts), _PACKED)
-    )
+    compared = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull())
+    counted = compared.select(F.col(text).alias("text")).mapInArrow(_count_pairs(window, SEEN), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    # At most one pair for each ``HOT`` words, and the bytes.
+    often = counted.where(F.col("pair").isNull() | (F.col("n") > HOT)).collect()
+    hot = np.array([r.pair for r in often if r.pair is not None], np.int64).view(np.uint64)
+    parts = max(buckets(spark), sum(r.n for r in often if r.pair is None) // BUCKET_BYTES)
+    packed = compared.select(F.col(doc_id).cast("long").alias("id"), sig.alias("sig"), F.col(text).alias("text")).mapInArrow(_pack(window, parts, hot), _PACKED)
     found = packed.repartition("bucket").sortWithinPartitions("settled", "bucket").mapInArrow(_resolve(window), _FOUND)
     spans = found.groupBy("id", "sig").agg(F.collect_list(F.struct("first", "n")).alias(_SPANS))
     names = docs.columns

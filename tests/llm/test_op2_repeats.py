@@ -2,8 +2,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
+from tallyhouse.llm import op2_repeats
 from tallyhouse.llm.op2_repeats import cut_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,3 +80,28 @@ def test_query_digest_is_that_of_the_kept_words(spark):
     rows = [tuple(r) for r in read(spark, folder, "documents").select("doc_id", "text").collect()]
     want = sorted((i, n, k, hashlib.sha256(t.encode()).hexdigest()) for i, n, k, t in brute(rows, 13))
     assert sorted(map(tuple, op2_super_kmer_dedup(spark, folder).collect())) == want
+
+
+@pytest.mark.parametrize("hot", [0, 40])
+def test_hot_pairs_and_many_buckets_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(op2_repeats, "HOT", hot)
+    monkeypatch.setattr(op2_repeats, "SEEN", 1)
+    monkeypatch.setattr(op2_repeats, "BUCKET_BYTES", 100)
+    rows = made(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = cut_repeats(docs, 4).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 4)
+
+
+def test_a_frequent_pair_draws_no_windows():
+    """Every fourth word pair is one pair of the least hash: it would be the minimiser of all windows."""
+    r = np.random.default_rng(1)
+    words = r.integers(1, 1 << 62, 40_000).astype(np.uint64)
+    words[::4], words[1::4] = words[0], words[1]
+    pairs = op2_repeats._pairs(words, 13)
+    hot = pairs[:1]
+    monopoly = np.unique(op2_repeats._minimiser(words, 13, hot), return_counts=True)[1].max()
+    assert monopoly <= 13 * 4
+    words[2::4], words[3::4] = words[2], words[3]
+    alone = op2_repeats._minimiser(words, 13, op2_repeats._pairs(words, 13))
+    assert len(np.unique(alone)) == 1
