@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import op9_mixing, op10_topk, op11_filter_audit
+from tallyhouse.llm import op9_mixing, op10_topk, op11_filter_audit, op12_jaccard_join, op13_vector_codes
 from tallyhouse.llm.op1_token_counts import op1_token_counts
 from tallyhouse.llm.op2_repeats import op2_super_kmer_dedup
 from tallyhouse.llm.op3_main_text import op3_min_cut_text
@@ -26,9 +26,13 @@ QUERIES = {
     "op9_fair_queue_mix": op9_fair_queue_mix,
     "op10_va_file_topk": op10_va_file_topk,
     "op11_filter_audit": op11_filter_audit.op11_filter_audit,
+    "op12_jaccard_join": op12_jaccard_join.op12_jaccard_join,
+    "op13_vector_codes": op13_vector_codes.op13_vector_codes,
 }
 ORACLES: dict[str, str] = {
     "op9_fair_queue_mix": op9_mixing.oracle(),
     "op10_va_file_topk": op10_topk.oracle(),
     "op11_filter_audit": op11_filter_audit.oracle(),
+    "op12_jaccard_join": op12_jaccard_join.oracle(),
+    "op13_vector_codes": op13_vector_codes.oracle(),
 }
