@@ -2,9 +2,11 @@
 
 Equal sets (one class of copies) count once. Two sets of similarity ``percent`` or more share one of the first
 ``n - ceil(n * percent / 100) + 1`` members of each, in any order of members that holds for all sets. So a class
-sends only that head, in order of hash, and classes that share a member of their heads form a tile. Members that
-many heads share go behind all others in that order (a passage that a third of all documents hold would else
-make a tile of them), and the heads that held one are cut again.
+sends only that head, and classes that share a member of their heads form a tile. The order puts rare members
+first, so that a passage that a third of all documents hold comes into few heads: members are counted, over all
+documents, in ``COUNTERS`` shared counters (map tasks add up their own, segments of counters are merged by
+tasks), and the order is by counter and then by hash. Members that share a counter only make the order less
+sharp, never the result wrong. What travels to the tasks is one byte a counter, whatever the input.
 
 Tiles become links in three rounds; the first two make large groups of near copies one component each:
 
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,10 +46,11 @@ from tallyhouse.llm.wordspans import chunks, find_words, let_go, mix
 
 SHINGLE = 5
 PERCENT = 80
-#: Heads that may share a member before it goes behind all others.
-OFTEN = 32
-#: Members of that kind that may be broadcast: 16 bytes each.
-FEW_MEMBERS = 1_000_000
+#: Counters that order the members, and the segments they are merged by.
+COUNTERS = 1 << 21
+SEGMENTS = 64
+#: Tiles that may be broadcast: 24 bytes each.
+FEW_TILES = 1_000_000
 #: Classes of a block.
 BLOCK = 256
 #: Bits of a signature.
@@ -95,18 +99,60 @@ def _marks(values: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     return [m.view(np.int64) for m in out]
 
 
-def _heads(size: int, percent: int):
-    """(id, n, mark1, mark2, head) of each document."""
+def _counter(values: np.ndarray) -> np.ndarray:
+    return (mix(values.view(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _counted(size: int):
+    """One task's counters, in compressed segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.uint32)
+        for chunk in chunks(batches, "text"):
+            np.add.at(counts, _counter(members_of(chunk.column("text"), size)[0]), 1)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        parts = [pack(part.tobytes()) if part.any() else None for part in counts.reshape(SEGMENTS, -1)]
+        some = [k for k, part in enumerate(parts) if part]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[k] for k in some], pa.binary())], names=["segment", "counts"])
+
+    return run
+
+
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments added up; of each counter an eighth of an octave is kept, in one byte."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, part in zip(batch.column("segment").to_pylist(), batch.column("counts"), strict=True):
+            total.setdefault(k, np.zeros(COUNTERS // SEGMENTS, np.int64))
+            total[k] += np.frombuffer(unpack(part.as_buffer()), np.uint32)
+    level = [np.minimum(8 * np.log2(x + 1.0), 255).astype(np.uint8).tobytes() for x in total.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(level, pa.binary())], names=["segment", "levels"])
+
+
+def member_levels(plain: DataFrame, size: int) -> np.ndarray:
+    """How often the members of each counter occur, as a level; ``COUNTERS`` bytes."""
+    parts = plain.select("text").mapInArrow(_counted(size), "segment int, counts binary").repartition(SEGMENTS, "segment")
+    levels = np.zeros((SEGMENTS, COUNTERS // SEGMENTS), np.uint8)
+    for segment, level in parts.mapInArrow(_levels, "segment int, levels binary").collect():
+        levels[segment] = np.frombuffer(level, np.uint8)
+    return levels.reshape(-1)
+
+
+def _heads(size: int, percent: int, levels):
+    """(id, n, mark1, mark2, head) of each document; ``levels`` is a broadcast value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, "text"):
             values, n = members_of(chunk.column("text"), size)
+            marks = _marks(values, n)
+            owner = np.repeat(np.arange(len(n)), n)
+            # Values ascend within their text already; a stable sort by level keeps that.
+            values = values[np.argsort(owner << 8 | levels.value[_counter(values)], kind="stable")]
             kept = np.where(n > 0, head_size(n, percent), 0)
             place = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
             head = _lists(values[place < np.repeat(kept, n)], kept)
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column("id"), pa.array(n, pa.int64()), *map(pa.array, _marks(values, n)), head], names=["id", "n", "mark1", "mark2", "head"]
-            )
+            yield pa.RecordBatch.from_arrays([chunk.column("id"), pa.array(n, pa.int64()), *map(pa.array, marks), head], names=["id", "n", "mark1", "mark2", "head"])
 
     return run
 
@@ -137,21 +183,6 @@ def _whole_sets(size: int):
     return run
 
 
-def _new_heads(percent: int):
-    """(c, n, head): heads in the order that puts the members in ``often`` last."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            heads = []
-            for mine, often in zip(batch.column("members"), batch.column("often"), strict=True):
-                mine, often = mine.values.to_numpy(), often.values.to_numpy()
-                late = np.isin(mine, often)
-                heads.append(np.concatenate((mine[~late], mine[late]))[: head_size(len(mine), percent)])
-            yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), pa.array(heads, pa.list_(pa.int64()))], names=["c", "n", "head"])
-
-    return run
-
-
 def _exact(percent: int):
     """The pairs whose whole sets are similar enough."""
 
@@ -226,11 +257,7 @@ def _shared(entries: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("c")).alias("who1"),
         F.bit_xor(F.xxhash64("c", F.lit(1))).alias("who2"),
     )
-    return tiles.where("size > 1")
-
-
-def _one_each(tiles: DataFrame) -> DataFrame:
-    return settle(tiles.groupBy("size", "lead", "who1", "who2").agg(F.min("key").alias("key")).select("key", "size", "lead"))
+    return tiles.where("size > 1").groupBy("size", "lead", "who1", "who2").agg(F.min("key").alias("key")).select("key", "size", "lead")
 
 
 def _few(df: DataFrame, most: int) -> DataFrame:
@@ -238,24 +265,6 @@ def _few(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def _reordered(entries: DataFrame, tiles: DataFrame, sets: DataFrame, percent: int, often: int) -> DataFrame:
-    """``entries`` in the order that puts members of many heads last."""
-    crowded = tiles.where(F.col("size") > often).select("key")
-    if crowded.isEmpty():
-        return entries
-    flagged = settle(entries.join(crowded, "key", "left_semi").select("c").distinct())
-    spread = sets.join(flagged, "c", "left_semi").select(F.explode("members").alias("key"))
-    late = settle(spread.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > often).select("key"))
-    late = _few(late, FEW_MEMBERS)
-    # Heads without such a member stay as they are in the new order.
-    touched = settle(entries.join(late, "key", "left_semi").select("c").distinct())
-    mine = sets.join(touched, "c", "left_semi")
-    lists = mine.select("c", F.explode("members").alias("key")).join(late, "key").groupBy("c").agg(F.collect_list("key").alias("often"))
-    heads = mine.join(lists, "c").select("c", "n", "members", "often").mapInArrow(_new_heads(percent), "c long, n long, head array<long>")
-    fresh = settle(heads.select(F.explode("head").alias("key"), "c", "n"))
-    return entries.join(touched, "c", "left_anti").select("key", "c", "n").union(fresh)
-
-
 def _banded(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, block: int) -> DataFrame:
     """Candidates of round 3."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100.5 / percent))).cast("int")
@@ -287,30 +296,25 @@ def _banded(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
 
 
 def jaccard_components(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, often: int = OFTEN, block: int = BLOCK
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, n_shingles, component_id (null for a null doc_id)."""
     bounded_batches(docs.sparkSession)
     plain = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     marks = ["n", "mark1", "mark2"]
-    headed = settle(plain.mapInArrow(_heads(shingle, percent), "id long, n long, mark1 long, mark2 long, head array<long>"))
+    levels = docs.sparkSession.sparkContext.broadcast(member_levels(plain, shingle))
+    headed = settle(plain.mapInArrow(_heads(shingle, percent, levels), "id long, n long, mark1 long, mark2 long, head array<long>"))
     real = headed.where((F.col("n") > 0) & F.col("id").isNotNull())
     classes = settle(
         real.groupBy(*marks).agg(F.min("id").alias("id"), F.first("head").alias("head")).withColumn("c", F.monotonically_increasing_id())
     )
     entries = classes.select(F.explode("head").alias("key"), "c", "n")
     tiles = settle(_shared(entries))
-    entries = settle(entries.join(tiles, "key", "left_semi"))
-    met = classes.join(entries.select("c").distinct(), "c", "left_semi").select("c", "id", *marks)
+    members = settle(entries.join(_few(tiles, FEW_TILES), "key"))
+    met = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "id", *marks)
     texts = plain.join(met, "id").distinct()
     sets = settle(texts.mapInArrow(_whole_sets(shingle), "c long, n long, bits array<long>, members array<long>"))
 
-    # Classes without a shared member link with none in any order, so the others settle it among themselves.
-    ordered = _reordered(entries, tiles, sets, percent, often)
-    if ordered is not entries:
-        tiles = _shared(ordered)
-    members = settle(ordered.join(_one_each(tiles), "key"))
-
     def linked(pairs: DataFrame) -> DataFrame:
         side = lambda x: sets.select(F.col("c").alias(x), F.col("members").alias(f"members_{x}"))
         met = pairs.join(side("b"), "b").join(side("a"), "a")
