@@ -11,7 +11,8 @@ moved *net* between the stamp and now: the norm of the sum of their moves, which
 of norms that running drifts would take off. Only groups whose lowered bound doesn't exceed the exact
 distance to the part's own entry are measured again, and get a new bound and stamp.
 
-A round is one scan of the vectors with their codes and bounds, checkpointed in the shared folder; every task
+A round is one scan of the vectors with their codes and bounds, written to the shared folder as Parquet (small
+whole numbers take little room there); every task
 adds up its own entries' sums, so that the driver sees the codebooks (their size is fixed by ``ENTRIES`` and
 the vectors' length), never rows. Codebooks travel to the tasks with the function.
 
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.tables import bounded_batches, read, settle
+from tallyhouse.sources.sinks import create_table_as
 
 SCALE = 1024
 PARTS = 4
@@ -112,8 +114,11 @@ def assign(x: np.ndarray, entries: np.ndarray, moves: np.ndarray, code: np.ndarr
     return at, best, int(asked.sum())
 
 
-def _round(history: list[np.ndarray], exact: bool):
-    """One scan: rows with new codes and bounds, then each task's sums per entry (slot = part * entries + entry)."""
+def _round(history: list[np.ndarray], exact: bool, last: bool):
+    """One scan: rows with new codes and bounds, then each task's sums per entry (slot = part * entries + entry).
+
+    Nothing comes after the ``last`` one, so its rows go without vectors and bounds.
+    """
     entries, moves = history[-1], net_moves(history)
     kind = np.float64 if exact else np.int64
     entries = entries.astype(kind)
@@ -145,17 +150,23 @@ def _round(history: list[np.ndarray], exact: bool):
                 # Kept in 4 bytes, rounded down.
                 short = bounds.astype(np.float32)
                 short = np.nextafter(short, np.float32(-np.inf))
+                packed = lambda a: pa.array([r.tobytes() for r in a], pa.binary())
+                none = pa.nulls(n, pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(c) for c in ("id", "label", "v")),
-                        *(pa.array([r.tobytes() for r in a], pa.binary()) for a in (new, short, stamps)),
+                        part.column("id"),
+                        part.column("label"),
+                        pa.nulls(n, schema.field("v").type) if last else part.column("v"),
+                        packed(new),
+                        none if last else packed(short),
+                        none if last else packed(stamps),
                         pa.array(error),
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.list_(pa.int64())),
                     ],
                     names=["id", "label", "v", "code", "bounds", "stamps", "error", "slot", "sums"],
                 )
-        if schema is not None:
+        if schema is not None and not last:
             some = np.flatnonzero(sums[:, :, 0].reshape(-1))
             n = len(some)
             yield pa.RecordBatch.from_arrays(
@@ -211,7 +222,7 @@ def product_codes(
     room = PARTS * width
     padded = F.concat(F.col("v"), F.array_repeat(F.lit(0).cast("long"), F.lit(room) - F.size("v"))).cast("array<int>")
     blank = [F.lit(None).cast(kind).alias(name) for name, kind in (("code", "binary"), ("bounds", "binary"), ("stamps", "binary"))]
-    rows = settle(kept.select("id", "label", padded.alias("v"))).select("id", "label", "v", *blank)
+    rows = create_table_as(kept.select("id", "label", padded.alias("v")), "vectors").select("id", "label", "v", *blank)
 
     start = rows.where("id IS NOT NULL").orderBy("id", "v").limit(entries).select("v").collect()
     if not start:  # no row has an id: the first rows by components start
@@ -221,7 +232,7 @@ def product_codes(
     schema = f"id long, label {kind}, v array<int>, {_STATE}"
     history = [book]
     for step in range(rounds + 1):
-        scanned = settle(rows.mapInArrow(_round(history, exact), schema))
+        scanned = create_table_as(rows.mapInArrow(_round(history, exact, step == rounds), schema), "coded")
         rows = scanned.where("slot IS NULL").select("id", "label", "v", "code", "bounds", "stamps")
         if step < rounds:
             history.append(_moved(history[-1], scanned))
