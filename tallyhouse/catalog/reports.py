@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallyhouse.catalog.registry import oracle_over, query
 from tallyhouse.plans import balance, films, revenue, stock
 from tallyhouse.sources.rental import RENTAL_VIEWS, rental_tables
@@ -393,6 +395,50 @@ def _(spark, folder):
     return balance.customer_balance(rental_tables(spark, folder), 77, "1999-06-30")
 
 
+_EVENTS = """
+    WITH held AS (
+        SELECT rt.customer_id, rt.rental_date AS moment, fl.rental_rate, fl.replacement_cost, fl.rental_duration AS allowed,
+               (epoch(rt.return_date) - epoch(rt.rental_date)) / 86400.0 AS days
+        FROM rental rt JOIN inventory USING (inventory_id) JOIN film fl USING (film_id)),
+    events AS (
+        SELECT customer_id, moment, rental_rate + CAST(
+                 CASE WHEN days > 2 * allowed THEN replacement_cost
+                      WHEN days > allowed THEN floor(days - allowed) ELSE 0 END AS DECIMAL(12,2)) AS amount FROM held
+        UNION ALL SELECT customer_id, payment_date, -amount FROM payment)"""
+_OWN_BALANCE = """CAST(coalesce((SELECT sum(ev.amount) FROM events ev
+                   WHERE ev.customer_id = asked.customer_id AND ev.moment <= asked.as_of), 0) AS DECIMAL(38,2)) AS balance"""
+
+
+@query("q16_balance_after_each_payment", rental_sql(f"""{_EVENTS},
+    asked AS (SELECT payment_id, customer_id, payment_date AS as_of FROM payment)
+    SELECT payment_id, customer_id, as_of, {_OWN_BALANCE} FROM asked""", *_BALANCE_VIEWS))
+def _(spark, folder):
+    t = rental_tables(spark, folder)
+    asked = t["payment"].select("payment_id", "customer_id", F.col("payment_date").alias("as_of"))
+    return balance.balances_at(t, asked)
+
+
+@query("q16_balance_at_own_dates", rental_sql(f"""{_EVENTS},
+    asked AS (
+        SELECT customer_id, n, CASE WHEN (customer_id + n) % 11 <> 0
+               THEN CAST('1993-06-01' AS DATE) + CAST((customer_id * 37 + n * 500) % 2400 AS INTEGER) END AS as_of
+        FROM cust, (SELECT unnest([0, 1, 2]) AS n)
+        UNION ALL SELECT customer_id + 10000000, 9, DATE '1998-01-01' FROM cust WHERE customer_id % 50 = 0
+        UNION ALL SELECT 1, 10, DATE '1996-01-01' FROM cust)
+    SELECT customer_id, n, as_of, {_OWN_BALANCE} FROM asked""", *_BALANCE_VIEWS))
+def _(spark, folder):
+    t = rental_tables(spark, folder)
+    people = t["customer"].select("customer_id")
+    own = F.when((F.col("customer_id") + F.col("n")) % 11 != 0, F.date_add(
+        F.lit("1993-06-01").cast("date"), ((F.col("customer_id") * 37 + F.col("n") * 500) % 2400).cast("int")))
+    asked = (
+        people.select("customer_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("n")).withColumn("as_of", own)
+        .unionAll(people.where("customer_id % 50 = 0").select(F.col("customer_id") + 10000000, F.lit(9), F.lit("1998-01-01").cast("date")))
+        .unionAll(people.select(F.lit(1).cast("bigint"), F.lit(10), F.lit("1996-01-01").cast("date")))
+    )
+    return balance.balances_at(t, asked)
+
+
 @query("q17_last_day_of_month", rental_sql("""
     SELECT rental_id, last_day(CAST(rental_date AS DATE)) AS rented_month_end,
            last_day(CAST(return_date AS DATE)) AS returned_month_end FROM rental""", "rental"))

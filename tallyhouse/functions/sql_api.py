@@ -90,3 +90,14 @@ def publish(tables: Mapping[str, DataFrame], views: Sequence[str] = VIEWS) -> Sp
     for name, text in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name} {text}")
     return spark
+
+
+def publish_balances(tables: Mapping[str, DataFrame], asked: DataFrame, view: str = "balances_at") -> SparkSession:
+    """A view with the rows of ``asked`` (customer_id, as_of and any others) and each row's own balance.
+
+    A function with a date per row would pair every date with every rental; the view is one sweep.
+    """
+    from tallyhouse.plans.balance import balances_at
+
+    balances_at(tables, asked).createOrReplaceTempView(view)
+    return asked.sparkSession
