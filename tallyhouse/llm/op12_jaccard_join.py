@@ -43,14 +43,15 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.components import components
 from tallyhouse.llm.tables import bounded_batches, read, settle
 from tallyhouse.llm.wordspans import chunks, find_words, let_go, mix
+from tallyhouse.sources.sinks import create_table_as
 
 SHINGLE = 5
 PERCENT = 80
 #: Counters that order the members, and the segments they are merged by.
 COUNTERS = 1 << 21
 SEGMENTS = 64
-#: Tiles that may be broadcast: 24 bytes each.
-FEW_TILES = 1_000_000
+#: Shared members, or classes, that may be broadcast: up to 48 bytes each.
+FEW = 500_000
 #: Classes of a block.
 BLOCK = 256
 #: Bits of a signature.
@@ -73,8 +74,9 @@ def members_of(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
     whole = place <= np.maximum(counts - size, 0)[words.row]
     value, owner = total[whole].view(np.int64), words.row[whole]
-    order = np.lexsort((value, owner))
-    value, owner = value[order], owner[order]
+    ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
+    for start, end in zip(ends - np.diff(ends, prepend=0), ends, strict=True):
+        value[start:end].sort()
     fresh = np.concatenate(([True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])))
     return value[fresh], np.bincount(owner[fresh], minlength=len(texts))
 
@@ -148,7 +150,8 @@ def _heads(size: int, percent: int, levels):
             marks = _marks(values, n)
             owner = np.repeat(np.arange(len(n)), n)
             # Values ascend within their text already; a stable sort by level keeps that.
-            values = values[np.argsort(owner << 8 | levels.value[_counter(values)], kind="stable")]
+            order = np.argsort(levels.value[_counter(values)], kind="stable")
+            values = values[order[np.argsort(owner[order].astype(np.uint16), kind="stable")]]
             kept = np.where(n > 0, head_size(n, percent), 0)
             place = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
             head = _lists(values[place < np.repeat(kept, n)], kept)
@@ -249,20 +252,21 @@ def _tiles(rows: pa.Table) -> np.ndarray:
     return np.cumsum(fresh)
 
 
-def _shared(entries: DataFrame) -> DataFrame:
-    """(key, size, lead) of the members that several heads share; of those shared by the same classes one."""
-    tiles = entries.groupBy("key").agg(
+def _tiles_of(members: DataFrame) -> DataFrame:
+    """``members`` with the size and the smallest class of their tile; of tiles with the same classes one is left."""
+    tiles = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
         F.min("c").alias("lead"),
         F.bit_xor(F.xxhash64("c")).alias("who1"),
         F.bit_xor(F.xxhash64("c", F.lit(1))).alias("who2"),
     )
-    return tiles.where("size > 1").groupBy("size", "lead", "who1", "who2").agg(F.min("key").alias("key")).select("key", "size", "lead")
+    one_each = tiles.groupBy("size", "lead", "who1", "who2").agg(F.min("key").alias("key")).select("key", "lead")
+    return members.join(one_each, "key")
 
 
-def _few(df: DataFrame, most: int) -> DataFrame:
-    """``df``, broadcast if it has at most ``most`` rows."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, broadcast if it has few rows."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
 
 
 def _banded(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, block: int) -> DataFrame:
@@ -309,10 +313,12 @@ def jaccard_components(
         real.groupBy(*marks).agg(F.min("id").alias("id"), F.first("head").alias("head")).withColumn("c", F.monotonically_increasing_id())
     )
     entries = classes.select(F.explode("head").alias("key"), "c", "n")
-    tiles = settle(_shared(entries))
-    members = settle(entries.join(_few(tiles, FEW_TILES), "key"))
-    met = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "id", *marks)
-    texts = plain.join(met, "id").distinct()
+    shared = settle(entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"))
+    members = create_table_as(_tiles_of(create_table_as(entries.join(_small(shared), "key"), "shared-members")), "tile-members")
+    met = settle(classes.select("c", "id", *marks).join(members.select("c").distinct(), "c", "left_semi"))
+    texts = plain.join(_small(met), "id")
+    if not headed.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
+        texts = texts.distinct()  # rows that repeat a doc_id and its text
     sets = settle(texts.mapInArrow(_whole_sets(shingle), "c long, n long, bits array<long>, members array<long>"))
 
     def linked(pairs: DataFrame) -> DataFrame:
