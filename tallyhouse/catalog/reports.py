@@ -395,7 +395,7 @@ def _(spark, folder):
     return balance.customer_balance(rental_tables(spark, folder), 77, "1999-06-30")
 
 
-_EVENTS = """
+ACCOUNT_EVENTS = """
     WITH held AS (
         SELECT rt.customer_id, rt.rental_date AS moment, fl.rental_rate, fl.replacement_cost, fl.rental_duration AS allowed,
                (epoch(rt.return_date) - epoch(rt.rental_date)) / 86400.0 AS days
@@ -405,27 +405,27 @@ _EVENTS = """
                  CASE WHEN days > 2 * allowed THEN replacement_cost
                       WHEN days > allowed THEN floor(days - allowed) ELSE 0 END AS DECIMAL(12,2)) AS amount FROM held
         UNION ALL SELECT customer_id, payment_date, -amount FROM payment)"""
-_OWN_BALANCE = """CAST(coalesce((SELECT sum(ev.amount) FROM events ev
+OWN_BALANCE = """CAST(coalesce((SELECT sum(ev.amount) FROM events ev
                    WHERE ev.customer_id = asked.customer_id AND ev.moment <= asked.as_of), 0) AS DECIMAL(38,2)) AS balance"""
 
 
-@query("q16_balance_after_each_payment", rental_sql(f"""{_EVENTS},
+@query("q16_balance_after_each_payment", rental_sql(f"""{ACCOUNT_EVENTS},
     asked AS (SELECT payment_id, customer_id, payment_date AS as_of FROM payment)
-    SELECT payment_id, customer_id, as_of, {_OWN_BALANCE} FROM asked""", *_BALANCE_VIEWS))
+    SELECT payment_id, customer_id, as_of, {OWN_BALANCE} FROM asked""", *_BALANCE_VIEWS))
 def _(spark, folder):
     t = rental_tables(spark, folder)
     asked = t["payment"].select("payment_id", "customer_id", F.col("payment_date").alias("as_of"))
     return balance.balances_at(t, asked)
 
 
-@query("q16_balance_at_own_dates", rental_sql(f"""{_EVENTS},
+@query("q16_balance_at_own_dates", rental_sql(f"""{ACCOUNT_EVENTS},
     asked AS (
         SELECT customer_id, n, CASE WHEN (customer_id + n) % 11 <> 0
                THEN CAST('1993-06-01' AS DATE) + CAST((customer_id * 37 + n * 500) % 2400 AS INTEGER) END AS as_of
         FROM cust, (SELECT unnest([0, 1, 2]) AS n)
         UNION ALL SELECT customer_id + 10000000, 9, DATE '1998-01-01' FROM cust WHERE customer_id % 50 = 0
         UNION ALL SELECT 1, 10, DATE '1996-01-01' FROM cust)
-    SELECT customer_id, n, as_of, {_OWN_BALANCE} FROM asked""", *_BALANCE_VIEWS))
+    SELECT customer_id, n, as_of, {OWN_BALANCE} FROM asked""", *_BALANCE_VIEWS))
 def _(spark, folder):
     t = rental_tables(spark, folder)
     people = t["customer"].select("customer_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyhouse.catalog.registry import query
-from tallyhouse.catalog.reports import rental_sql
+from tallyhouse.catalog.reports import ACCOUNT_EVENTS, OWN_BALANCE, rental_sql
 from tallyhouse.functions import sql_api
 from tallyhouse.functions.scalars import display_name
 from tallyhouse.functions.text import ENGLISH_STOP_WORDS, term_positions
@@ -330,6 +330,21 @@ def _(spark, folder):
     )
 
 
+@query("u4_balance_per_row_view", rental_sql(f"""{ACCOUNT_EVENTS},
+    asked AS (SELECT payment_id, customer_id, payment_date AS as_of FROM payment),
+    b AS (SELECT customer_id, {OWN_BALANCE} FROM asked)
+    SELECT cu.customer_id, cu.store_id, count(*) AS payments, min(balance) AS lowest, max(balance) AS highest
+    FROM cust cu JOIN b USING (customer_id) GROUP BY cu.customer_id, cu.store_id""", *_BALANCE_VIEWS))
+def _(spark, folder):
+    t = rental_tables(spark.newSession(), folder)
+    paid = t["payment"].select("payment_id", "customer_id", F.col("payment_date").alias("as_of"))
+    own = sql_api.publish_balances(t, paid)
+    t["customer"].createOrReplaceTempView("customer")
+    return own.sql("""
+        SELECT c.customer_id, c.store_id, count(*) AS payments, min(b.balance) AS lowest, max(b.balance) AS highest
+        FROM customer c JOIN balances_at b ON b.customer_id = c.customer_id GROUP BY c.customer_id, c.store_id""")
+
+
 @query("u5_immutable_function", "SELECT l_orderkey, l_linenumber, l_partkey, last_day(CAST(l_shipdate AS DATE)) AS month_end FROM lineitem")
 def _(spark, folder):
     return rental_tables(spark, folder).file("lineitem").select(
