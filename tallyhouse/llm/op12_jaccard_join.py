@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
 from tallyhouse.llm.tables import bounded_batches, read, settle
-from tallyhouse.llm.wordspans import chunks, find_words, let_go, mix
+from tallyhouse.llm.wordspans import CHUNK_BYTES, CHUNK_ROWS, chunks, find_words, let_go, mix
 from tallyhouse.sources.sinks import create_table_as
 
 SHINGLE = 5
@@ -54,6 +54,8 @@ SEGMENTS = 64
 FEW = 500_000
 #: Classes of a block.
 BLOCK = 256
+#: Partners of a class that one task intersects with it.
+PARTNERS = 1000
 #: Bits of a signature.
 BITS = 1024
 
@@ -170,33 +172,56 @@ def _signatures(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 def _whole_sets(size: int):
-    """(c, n, bits, members) of the texts whose set is the class ``c`` they come with."""
+    """(c, n, bits, packed) of the texts whose set is the class ``c`` they come with; ``packed`` is the text, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
         for chunk in chunks(batches, "text", rows=1024):
             values, n = members_of(chunk.column("text"), size)
             marks = _marks(values, n)
             own = np.logical_and.reduce([chunk.column(name).to_numpy() == m for name, m in (("n", n), ("mark1", marks[0]), ("mark2", marks[1]))])
-            out = pa.RecordBatch.from_arrays(
-                [chunk.column("c"), chunk.column("n"), _signatures(values, n), _lists(values, n)], names=["c", "n", "bits", "members"]
-            )
+            packed = pa.array([pack(t.as_buffer()) for t in chunk.column("text").cast(pa.large_string())], pa.binary())
+            out = pa.RecordBatch.from_arrays([chunk.column("c"), chunk.column("n"), _signatures(values, n), packed], names=["c", "n", "bits", "packed"])
             yield out.filter(pa.array(own))
         let_go()
 
     return run
 
 
-def _exact(percent: int):
-    """The pairs whose whole sets are similar enough."""
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of bounded bytes once unpacked, with their texts; one longer text still goes whole."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    packed = batch.column("packed")
+    ends = np.cumsum([zstandard.frame_content_size(x.as_buffer()) for x in packed])
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = min(first + CHUNK_ROWS, max(first + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, side="right"))))
+        texts = pa.array([unpack(x.as_buffer()) for x in packed.slice(first, last - first)], pa.large_binary())
+        yield batch.slice(first, last - first), texts.cast(pa.large_string())
+        first = last
+
+
+def _exact(size: int, percent: int):
+    """The pairs whose whole sets are similar enough; the row of ``b`` itself comes before those of its partners."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        against, lead = None, np.zeros(0, np.int64)
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("members_a"), batch.column("members_b"), strict=True):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            for part, texts in _unpacked(batch):
+                values, n = members_of(texts, size)
+                ends = np.cumsum(n)
+                a, b = part.column("a").to_numpy(), part.column("b").to_numpy()
+                linked = np.zeros(len(a), dtype=bool)
+                for row in range(len(a)):
+                    mine = values[ends[row] - n[row] : ends[row]]
+                    if a[row] == b[row]:
+                        against, lead = b[row], mine
+                    elif against == b[row]:
+                        common = len(np.intersect1d(lead, mine, assume_unique=True))
+                        linked[row] = 100 * common >= percent * (len(lead) + len(mine) - common)
+                yield part.select(["a", "b"]).filter(pa.array(linked))
+        let_go()
 
     return run
 
@@ -319,12 +344,18 @@ def jaccard_components(
     texts = plain.join(_small(met), "id")
     if not headed.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
         texts = texts.distinct()  # rows that repeat a doc_id and its text
-    sets = settle(texts.mapInArrow(_whole_sets(shingle), "c long, n long, bits array<long>, members array<long>"))
+    sets = settle(texts.mapInArrow(_whole_sets(shingle), "c long, n long, bits array<long>, packed binary"))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        side = lambda x: sets.select(F.col("c").alias(x), F.col("members").alias(f"members_{x}"))
-        met = pairs.join(side("b"), "b").join(side("a"), "a")
-        return settle(met.select("a", "b", "members_a", "members_b").mapInArrow(_exact(percent), "a long, b long"))
+        """The pairs that are links. Each text goes once to its partner ``b``; one with many partners has several seats."""
+        pairs = settle(pairs)
+        seats = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("seats"))
+        seated = pairs.join(_small(seats), "b").withColumn("seat", F.pmod(F.xxhash64("a"), F.col("seats")).cast("int"))
+        leads = seated.select("b", "seat").distinct().withColumn("a", F.col("b"))
+        texts = sets.select(F.col("c").alias("a"), "packed")
+        met = [texts.join(_small(settle(x.select("a", "b", "seat"))), "a").select("a", "b", "seat", "packed") for x in (seated, leads)]
+        sides = met[0].union(met[1]).repartition("b", "seat").sortWithinPartitions("b", "seat", F.col("a") != F.col("b"))
+        return settle(sides.select("a", "b", "packed").mapInArrow(_exact(shingle, percent), "a long, b long"))
 
     def possible(pairs: DataFrame) -> DataFrame:
         """The pairs whose sizes and signatures allow a link."""
