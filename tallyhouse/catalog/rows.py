@@ -54,6 +54,29 @@ def _(spark, folder):
     return writes.insert_unless_conflict(target, offered, [("s_name",)], ["s_suppkey"]).table
 
 
+# Each order shares one key with the order before it and the other with the one after it; now and then a key is missing.
+@query("w02_several_unique_keys", """
+    WITH RECURSIVE offered AS (
+        SELECT o_orderkey AS id, CASE WHEN o_custkey % 40 <> 0 THEN o_orderkey // 2 END AS locker,
+               CASE WHEN o_custkey % 60 <> 7 THEN (o_orderkey + 1) // 2 END AS badge FROM orders),
+    chained AS (
+        SELECT o.id, o.locker, o.badge, o.locker = p.locker OR o.badge = p.badge AS rival
+        FROM offered o LEFT JOIN offered p ON p.id = o.id - 1),
+    walk AS (
+        SELECT id, locker, badge, TRUE AS taken FROM chained WHERE rival IS NOT TRUE
+        UNION ALL
+        SELECT c.id, c.locker, c.badge, NOT w.taken FROM walk w JOIN chained c ON c.id = w.id + 1 AND c.rival)
+    SELECT id, locker, badge FROM walk WHERE taken""")
+def _(spark, folder):
+    key = F.col("o_orderkey")
+    offered = rental_tables(spark, folder).file("orders").select(
+        key.alias("id"),
+        F.when(F.col("o_custkey") % 40 != 0, F.floor(key / 2)).alias("locker"),
+        F.when(F.col("o_custkey") % 60 != 7, F.floor((key + 1) / 2)).alias("badge"),
+    )
+    return writes.insert_unless_conflict(offered.limit(0), offered, [("locker",), ("badge",)], ["id"]).table
+
+
 @query("w03_update_by_key", """
     SELECT o_orderkey, o_custkey, CASE WHEN o_custkey = 7 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders""")
 def _(spark, folder):

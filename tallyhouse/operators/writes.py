@@ -14,9 +14,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.conflicts import has_null, take_in_order
 from tallyhouse.operators.numbering import next_keys
 from tallyhouse.operators.picks import first_per_key
-from tallyhouse.session import fresh_path, shared_folder
+from tallyhouse.session import shared_folder
 
 
 class Change(NamedTuple):
@@ -105,71 +106,15 @@ def insert_unless_conflict(
     if len(unique) == 1:
         pending = _first_of_each(pending, unique[0], order_by)
     elif len(unique) > 1:
-        pending = _take_in_order(pending, unique, order_by)
+        pending = take_in_order(pending, unique, order_by)
     return insert_rows(target, pending, key, order_by)
 
 
-def _has_null(columns: Sequence[str]) -> Column:
-    return reduce(lambda left, right: left | right, [F.col(c).isNull() for c in columns])
-
-
 def _first_of_each(rows: DataFrame, unique: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     firsts = first_per_key(
-        rows.where(~_has_null(unique)), unique, [F.col(c).asc_nulls_first() for c in order_by]
+        rows.where(~has_null(unique)), unique, [F.col(c).asc_nulls_first() for c in order_by]
     )
-    return rows.where(_has_null(unique)).unionByName(firsts)
-
-
-def _take_in_order(
-    rows: DataFrame, unique: Sequence[Sequence[str]], order_by: Sequence[str]
-) -> DataFrame:
-    """Rows taken when walking in order and skipping conflicts, for several unique keys.
-
-    Rows that share no key with another row are taken at once. Whether one of the others is taken
-    depends on the rows before it, so they go through rounds: rows that come first for all of their
-    keys are taken, rows in conflict with those drop out, and the rest go on. There are as many rounds
-    as the longest chain of conflicts has steps. A round carries keys and places only, and adds the
-    places it took to a table in the shared folder, so the plan of the result does not grow with them.
-    """
-    spark = rows.sparkSession
-    shared_folder(spark)
-    placed = rows.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
-    counted, contested = placed, F.lit(False)
-    for number, columns in enumerate(unique):
-        repeats = placed.where(~_has_null(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias(f"_n{number}"))
-        counted = counted.join(repeats, list(columns), "left")
-        contested |= F.coalesce(F.col(f"_n{number}") > 1, F.lit(False))
-    judged = counted.select(*placed.columns, contested.alias("_contested")).checkpoint()
-    alone = judged.where("NOT _contested").select(*rows.columns)
-    rivals = judged.where("_contested").drop("_contested")
-    keys = dict.fromkeys(column for columns in unique for column in columns)
-    place = F.struct(*[F.col(c) for c in order_by], F.col("_at"))
-    pending = rivals.select("_at", place.alias("_place"), *keys)
-    if pending.isEmpty():
-        return alone
-    path = fresh_path(spark, "taken")
-    while not pending.isEmpty():
-        judged = _one_round(pending, unique).checkpoint()
-        judged.where("_won").select("_at").write.mode("append").parquet(path)
-        pending = judged.where("NOT _won AND NOT _lost").select(*pending.columns)
-    taken = spark.read.schema("_at bigint").parquet(path)
-    return alone.unionByName(rivals.join(taken, "_at", "left_semi").select(*rows.columns))
-
-
-def _one_round(pending: DataFrame, unique: Sequence[Sequence[str]]) -> DataFrame:
-    """``pending`` with _won (first for all of its keys) and _lost (shares a key with one that won)."""
-    ranked, won, lost = pending, F.lit(True), F.lit(False)
-    for number, columns in enumerate(unique):
-        firsts = pending.where(~_has_null(columns)).groupBy(*columns).agg(F.min("_place")["_at"].alias(f"_first{number}"))
-        ranked = ranked.join(firsts, list(columns), "left")
-        won &= F.coalesce(F.col(f"_first{number}") == F.col("_at"), F.lit(True))
-    ranked = ranked.select(*pending.columns, won.alias("_won"))
-    winners = ranked.where("_won")
-    for number, columns in enumerate(unique):
-        gone = winners.where(~_has_null(columns)).select(*columns, F.lit(True).alias(f"_gone{number}"))
-        ranked = ranked.join(gone, list(columns), "left")
-        lost |= F.coalesce(f"_gone{number}", F.lit(False))
-    return ranked.select(*pending.columns, "_won", (lost & ~F.col("_won")).alias("_lost"))
+    return rows.where(has_null(unique)).unionByName(firsts)
 
 
 def resolve_name(
