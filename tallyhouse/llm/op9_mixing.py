@@ -55,7 +55,7 @@ def running_sum(rows: DataFrame, value: str, order: Sequence[Column | str], name
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, percent: int = SHARE_PERCENT, repeats: int = REPEATS) -> DataFrame:
-    """``sources`` (source, source_size: one row each) with w and target."""
+    """``sources`` (source, source_size: one row each) with w, target and the budget of all sources."""
     n = len(weights)
     listed = sources.withColumn("at", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
     w = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("at") - 1, F.lit(n)) + 1).cast("int")).cast("long")
@@ -79,6 +79,7 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, percent: int =
         F.when(F.col("open"), F.col("level.left") * F.col("w") / F.col("level.w_left"))
         .otherwise((F.col("source_size") * repeats).cast("double"))
         .alias("target"),
+        "budget",
     )
 
 
@@ -98,6 +99,8 @@ def mix_sources(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
             F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            # Rows alike in all else stay apart.
+            F.monotonically_increasing_id().alias("row"),
         )
     )
     per_source = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, repeats)
@@ -111,11 +114,9 @@ def mix_sources(
     )
     order = ["finish", "source", "turn", "spot", "doc_id", "size"]
     queue = running_sum(copies, "size", order, "total")
-    budget = sizes.agg(F.sum("size").alias("all")).select((F.coalesce("all", F.lit(0)) * percent / 100.0).alias("budget"))
-    row = ["doc_id", "source", "spot", "size", "reach", "source_size", "target"]
+    row = ["row", "doc_id", "source", "size", "source_size", "target"]
     return (
-        queue.crossJoin(F.broadcast(budget))  # one value
-        .groupBy(*row)
+        queue.groupBy(*row)
         .agg(F.sum(F.when(F.col("total") <= F.col("budget"), F.col("size")).otherwise(0)).alias("taken"))
         .select("doc_id", "source", "size", "source_size", "target", "taken")
     )

@@ -70,6 +70,19 @@ def test_no_rows(spark):
     assert mix_sources(spark.createDataFrame([(1, "a", None)], "doc_id long, source string, text string")).first().taken == 0
 
 
+def test_every_row_stays(spark):
+    """Rows without words, without an id, and wholly alike rows."""
+    rows = [(1, "a", None), (1, "a", ""), (None, "a", " "), (None, "a", None), (2, "a", "x y"), (2, "a", "x y"), (3, None, ""), (3, None, "")]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)).collect()
+    assert sorted((r.doc_id or 0, r.source or "", r.size) for r in got) == sorted((i or 0, s or "", len((t or "").split())) for i, s, t in rows)
+
+
+def test_no_nested_loop(spark):
+    docs = spark.createDataFrame([(1, "a", "x y"), (2, "b", "z")], "doc_id long, source string, text string")
+    plan = mix_sources(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_running_sum_over_everything(spark):
     rows = spark.range(1000).selectExpr("id", "id % 7 AS v").repartition(6)
     got = {r.id: r.s for r in running_sum(rows, "v", ["id"], "s").collect()}
