@@ -19,7 +19,9 @@ Tiles become links in three rounds; the first two make large groups of near copi
    has and the other hasn't. That bounds the overlap from above; pairs that pass are candidates.
 
 A candidate is a link only by intersecting both whole sorted arrays. Nothing is capped: a block pair is compared
-within one task, by numpy, and gives rows only for candidates.
+within one task, by numpy, first by signatures; classes that are in a candidate come again with their texts,
+and the task intersects until its classes are in one component or no candidate is left. So no pair is ever a
+row unless it is a link that joins two components.
 
 Members are 64-bit hashes; two of a document's n-grams fall together with odds n ** 2 / 2 ** 65 (1 in 10 ** 11 for
 20,000 words). Equal sets are recognised by their size and two 64-bit sums.
@@ -226,30 +228,77 @@ def _exact(size: int, percent: int):
     return run
 
 
-def _within_tiles(percent: int):
-    """Candidates (a, b) of block pairs; rows come sorted by tile, so a tile is a stretch of rows."""
-
-    def found(rows: pa.Table) -> pa.RecordBatch:
-        c, n, group, block = (rows.column(x).to_numpy() for x in ("c", "n", "component", "block"))
-        upper = rows.column("upper").to_numpy()
-        alone = rows.column("i").to_numpy() == rows.column("j").to_numpy()
-        bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(c), BITS // 64)
-        tile = _tiles(rows)
-        out = []
-        for step in range(1, int(np.bincount(tile).max(initial=1))):
-            x = np.flatnonzero(tile[step:] == tile[:-step])
-            y = x + step
-            ok = (group[x] != group[y]) & (upper[x] | upper[y]) & (alone[x] | (block[x] != block[y]))
-            x, y = x[ok], y[ok]
-            ok = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
-            x, y = x[ok], y[ok]
-            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1).astype(np.int64)
-            # Overlap is at most (n[x] + n[y] - apart) / 2.
-            ok = apart * (100 + percent) <= (100 - percent) * (n[x] + n[y])
-            out.append((c[x[ok]], c[y[ok]]))
-        a, b = (np.concatenate(z) for z in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
-        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+def _candidates(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of row numbers within a tile whose sizes and signatures allow a link, and how many bits differ."""
+    n, group, block = (rows.column(x).to_numpy() for x in ("n", "component", "block"))
+    upper = rows.column("upper").to_numpy()
+    alone = rows.column("i").to_numpy() == rows.column("j").to_numpy()
+    bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), BITS // 64)
+    tile = _tiles(rows)
+    out = [(np.zeros(0, np.int64),) * 3]
+    for step in range(1, int(np.bincount(tile).max(initial=1))):
+        x = np.flatnonzero(tile[step:] == tile[:-step])
+        y = x + step
+        ok = (group[x] != group[y]) & (upper[x] | upper[y]) & (alone[x] | (block[x] != block[y]))
+        x, y = x[ok], y[ok]
+        ok = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+        x, y = x[ok], y[ok]
+        apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1).astype(np.int64)
+        # Overlap is at most (n[x] + n[y] - apart) / 2.
+        ok = apart * (100 + percent) <= (100 - percent) * (n[x] + n[y])
+        out.append((x[ok], y[ok], apart[ok]))
+    return tuple(np.concatenate(z) for z in zip(*out, strict=True))
+
+
+def _suspects(percent: int):
+    """The rows of block pairs that are in a candidate pair."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        x, y, _ = _candidates(rows, percent)
+        return rows.drop_columns(["n", "bits"]).take(pa.array(np.unique(np.concatenate((x, y)))))
+
+    return run
+
+
+def _links_within(size: int, percent: int):
+    """Links between components in block pairs, confirmed on whole sets; a spanning set of them is enough."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        x, y, apart = _candidates(rows, percent)
+        c, group = rows.column("c").to_numpy(), rows.column("component").to_numpy()
+        packed = rows.column("packed")
+        unpack = zstandard.ZstdDecompressor().decompress
+        sets: dict[int, np.ndarray] = {}
+        up: dict[int, int] = {}
+        links = []
+
+        def members(row: int) -> np.ndarray:
+            if row not in sets:
+                text = pa.array([unpack(packed[row].as_buffer())], pa.large_binary()).cast(pa.large_string())
+                sets[row] = members_of(text, size)[0]
+            return sets[row]
+
+        def root(node: int) -> int:
+            while node in up:
+                node = up[node]
+            return node
+
+        for i in np.lexsort((apart, _tiles(rows)[x])):
+            a, b = int(x[i]), int(y[i])
+            one, other = root(int(group[a])), root(int(group[b]))
+            if one == other:
+                continue
+            common = len(np.intersect1d(members(a), members(b), assume_unique=True))
+            if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                up[max(one, other)] = min(one, other)
+                links.append((int(c[a]), int(c[b])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return run
+
+
+def _tile_by_tile(work):
+    """``work`` on whole tiles; rows come sorted by tile, so a tile is a stretch of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -259,10 +308,10 @@ def _within_tiles(percent: int):
             tile = _tiles(rows)
             whole = int(np.searchsorted(tile, tile[-1])) if len(tile) else 0  # the last tile may go on
             if whole:
-                yield found(rows.slice(0, whole))
+                yield from work(rows.slice(0, whole).combine_chunks()).to_batches()
             held = rows.slice(whole).combine_chunks().to_batches()
         if held:
-            yield found(pa.Table.from_batches(held))
+            yield from work(pa.Table.from_batches(held).combine_chunks()).to_batches()
         let_go()
 
     return run
@@ -294,8 +343,8 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
 
 
-def _banded(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, block: int) -> DataFrame:
-    """Candidates of round 3."""
+def _banded(members: DataFrame, sets: DataFrame, labels: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+    """Links of round 3. Signatures go to the block pairs first, texts only to those that hold a candidate."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100.5 / percent))).cast("int")
     named = (
         members.select("key", "c", "n")
@@ -319,9 +368,16 @@ def _banded(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
         .select("key", "band", "upper", "c", "component", "block", other)
         .select("key", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "upper", "c", "component")
     )
-    rows = seated.join(sets.select("c", "n", "bits"), "c").select("key", "band", "i", "j", "block", "upper", "c", "component", "n", "bits")
     tile = ["key", "band", "i", "j"]
-    return rows.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(_within_tiles(percent), "a long, b long").distinct()
+    seat = [*tile, "block", "upper", "c", "component"]
+
+    def dealt(seats: DataFrame, *of_sets: str) -> DataFrame:
+        rows = seats.join(sets.select("c", *of_sets), "c").select(*seat, *of_sets)
+        return rows.repartition(*tile).sortWithinPartitions(*tile)
+
+    kinds = "key long, band int, i int, j int, block int, upper boolean, c long, component long"
+    suspects = settle(dealt(seated, "n", "bits").mapInArrow(_tile_by_tile(_suspects(percent)), kinds))
+    return settle(dealt(suspects, "n", "bits", "packed").mapInArrow(_tile_by_tile(_links_within(size, percent)), "a long, b long"))
 
 
 def jaccard_components(
@@ -339,7 +395,7 @@ def jaccard_components(
     )
     entries = classes.select(F.explode("head").alias("key"), "c", "n")
     shared = settle(entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"))
-    members = create_table_as(_tiles_of(create_table_as(entries.join(_small(shared), "key"), "shared-members")), "tile-members")
+    members = create_table_as(_tiles_of(create_table_as(entries.join(shared, "key"), "shared-members")), "tile-members")
     met = settle(classes.select("c", "id", *marks).join(members.select("c").distinct(), "c", "left_semi"))
     texts = plain.join(_small(met), "id")
     if not headed.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
@@ -379,7 +435,7 @@ def jaccard_components(
     others = followers.select(F.col("c").alias("a"), F.col("lead").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     links = links.union(linked(possible(apart(others, labels))))
     labels = components(links)
-    links = links.union(linked(_banded(members, sets, labels, percent, block)))
+    links = links.union(_banded(members, sets, labels, shingle, percent, block))
 
     # A doc_id with several texts ties their classes together.
     rows = headed.select("id", *marks).join(classes.select("c", *marks), marks, "left")
