@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.stemming import stems
+
 # The public English stop-word list of PostgreSQL's text search.
 ENGLISH_STOP_WORDS = (
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
@@ -38,3 +40,24 @@ def term_positions(
         .where(~F.col("term").isin(list(stop_words)))
         .select(key, "term", (F.col("at") + 1).alias("position"))
     )
+
+
+def lexeme_positions(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", stop_words: list[str] = ENGLISH_STOP_WORDS
+) -> DataFrame:
+    """(key, lexeme, positions): the stems of each text with their sorted positions, as a search vector lists them.
+
+    Words become one row per text and distinct word before they meet the stems, which are worked out
+    once for each distinct word of all texts. That list grows with the vocabulary, not with the text.
+    """
+    per_word = (
+        term_positions(documents, key, text, stop_words)
+        .groupBy(key, "term")
+        .agg(F.collect_list("position").alias("positions"))
+    )
+    vocabulary = stems(per_word.select("term").distinct(), "term", "lexeme")
+    return (
+        per_word.join(vocabulary, "term")
+        .groupBy(key, "lexeme")
+        .agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))
+    )
