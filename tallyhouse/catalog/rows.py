@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tallyhouse.catalog.registry import query
 from tallyhouse.catalog.reports import ACCOUNT_EVENTS, OWN_BALANCE, rental_sql
+from tallyhouse.catalog.stem_sql import stem_ctes
 from tallyhouse.functions import sql_api
 from tallyhouse.functions.scalars import display_name
-from tallyhouse.functions.text import ENGLISH_STOP_WORDS, term_positions
+from tallyhouse.functions.text import ENGLISH_STOP_WORDS, lexeme_positions, term_positions
 from tallyhouse.operators import access, quality, writes
 from tallyhouse.operators.numbering import next_keys
 from tallyhouse.plans.revenue import category_revenue
@@ -384,3 +385,21 @@ def _(spark, folder):
     WHERE term NOT IN (""" + ", ".join(f"'{word}'" for word in ENGLISH_STOP_WORDS) + ")")
 def _(spark, folder):
     return term_positions(rental_tables(spark, folder).file("documents"))
+
+
+_TERMS = r"""
+    SELECT doc_id, term, position FROM (
+        SELECT doc_id, unnest(terms) AS term, unnest(generate_series(1, len(terms)))::INT AS position
+        FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS terms FROM documents) d) w
+    WHERE term NOT IN (""" + ", ".join(f"'{word}'" for word in ENGLISH_STOP_WORDS) + ")"
+
+
+@query("f24_lexeme_positions", f"""
+    WITH terms AS ({_TERMS}), words AS (SELECT DISTINCT term AS word FROM terms), {stem_ctes("words")}
+    SELECT doc_id, stem AS lexeme, count(*) AS n, string_agg(CAST(position AS VARCHAR), ',' ORDER BY position) AS positions
+    FROM terms JOIN stems ON stems.word = term GROUP BY doc_id, stem""")
+def _(spark, folder):
+    found = lexeme_positions(rental_tables(spark, folder).file("documents"))
+    return found.select(
+        "doc_id", "lexeme", F.size("positions").cast("bigint").alias("n"), F.concat_ws(",", F.col("positions").cast("array<string>")).alias("positions")
+    )
