@@ -12,6 +12,7 @@ from tallyhouse.functions.periods import in_range, instant, quarter_range
 from tallyhouse.functions.scalars import expected_age, full_address, total
 from tallyhouse.operators.numbering import number_rows
 from tallyhouse.operators.picks import first_per_key, random_pick, top
+from tallyhouse.operators.ranges import join_ranges
 from tallyhouse.session import fresh_path
 from tallyhouse.sources import sinks
 from tallyhouse.sources.rental import rental_tables
@@ -357,6 +358,27 @@ def _(spark, folder):
     return orders.where((F.col("o_orderdate") >= begins) & (F.col("o_orderdate") < ends)).select("o_orderkey")
 
 
+@query("j07_many_ranges", """
+    WITH offers AS (
+        SELECT s_suppkey, TIMESTAMP '1992-01-01 00:00:00' + to_hours(CAST(s_suppkey * 397 % 57000 AS INTEGER)) AS begins,
+               CASE WHEN s_suppkey % 9 <> 0 THEN TIMESTAMP '1992-01-01 00:00:00' + to_hours(CAST(s_suppkey * 397 % 57000 + s_suppkey * 53 % 1500 - 100 AS INTEGER)) END AS ends
+        FROM supplier)
+    SELECT s_suppkey, count(*) AS orders, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
+    FROM offers JOIN orders ON o_orderdate >= begins AND o_orderdate < ends GROUP BY s_suppkey""")
+def _(spark, folder):
+    key, origin = F.col("s_suppkey"), F.lit("1992-01-01").cast("timestamp_ntz")
+    after = lambda hours: origin + F.make_dt_interval(F.lit(0), hours.cast("int"))
+    begins = key * 397 % 57000
+    offers = rental_tables(spark, folder).file("supplier").select(
+        "s_suppkey", after(begins).alias("begins"), F.when(key % 9 != 0, after(begins + key * 53 % 1500 - 100)).alias("ends")
+    )
+    orders = rental_tables(spark, folder).file("orders").select("o_orderkey", "o_orderdate")
+    met = join_ranges(orders, "o_orderdate", offers, "begins", "ends")
+    return met.groupBy("s_suppkey").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order")
+    )
+
+
 @query("j08_join_on_constant", rental_sql("""
     SELECT actor_id, film_id FROM actor JOIN film ON title = 'red widget'
     WHERE first_name IN ('Supplier#000000002', 'Supplier#000000005')""", "actor", "film"))

@@ -288,6 +288,22 @@ def _(spark, folder):
     return revenue.category_revenue(rental_tables(spark, folder), "1997-05-10")
 
 
+@query("q09_category_revenue_of_each_date", rental_sql("""
+    WITH dates AS (SELECT CAST(n_nationkey AS INTEGER) AS n, CASE WHEN n_nationkey <> 7 THEN CAST('1993-11-20' AS DATE) + CAST(n_nationkey * 83 AS INTEGER) END AS day FROM nation)
+    SELECT n, day, ct.name AS category_name, CAST(sum(py.amount) AS DECIMAL(38,2)) AS total_revenue,
+           CAST(date_trunc('quarter', day) AS DATE) AS quarter_start, CAST(year(day) AS INT) AS year
+    FROM dates JOIN payment py ON date_trunc('quarter', py.payment_date) = date_trunc('quarter', day)
+    JOIN rental rt USING (rental_id) JOIN inventory iv USING (inventory_id)
+    JOIN film_category fc USING (film_id) JOIN category ct USING (category_id)
+    GROUP BY ALL HAVING sum(py.amount) > 0""",
+    "payment", "rental", "inventory", "film_category", "category"))
+def _(spark, folder):
+    t = rental_tables(spark, folder)
+    day = F.when(F.col("n_nationkey") != 7, F.date_add(F.lit("1993-11-20").cast("date"), (F.col("n_nationkey") * 83).cast("int")))
+    dates = t.file("nation").select(F.col("n_nationkey").cast("int").alias("n"), day.alias("day"))
+    return revenue.category_revenue_at(t, dates)
+
+
 # --- stock ------------------------------------------------------------------------------
 
 @query("q10_popular_films_by_country", rental_sql("""

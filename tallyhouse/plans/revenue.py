@@ -13,6 +13,7 @@ from tallyhouse.functions.periods import (
 )
 from tallyhouse.functions.scalars import TOTAL, full_address, total
 from tallyhouse.operators.picks import first_per_key, top
+from tallyhouse.operators.ranges import join_ranges
 
 Tables = Mapping[str, DataFrame]
 
@@ -108,12 +109,28 @@ def top_staff(t: Tables, year: int, k: int = 3, require_store: bool = False) ->
     ).select("staff_id", "first_name", "last_name", "store_id", "total_revenue")
 
 
-def category_revenue(t: Tables, as_of) -> DataFrame:
-    """Revenue per category in the quarter of ``as_of``; categories without revenue are left out.
+def _per_category(t: Tables, per_rental: DataFrame, *by: str) -> DataFrame:
+    """(category_name, *by, total_revenue) from (rental_id, *by, paid); categories without revenue are left out.
 
     A payment counts once for each category of its film. Each step aggregates to the key of
     the next join, so it reuses that join's partitioning and sends one row per key.
     """
+    def summed(rows: DataFrame, key: str) -> DataFrame:
+        return rows.groupBy(key, *by).agg(_sum("paid").alias("paid"))
+
+    per_copy = summed(per_rental.join(t["rental"].select("rental_id", "inventory_id"), "rental_id"), "inventory_id")
+    per_film = summed(per_copy.join(t["inventory"].select("inventory_id", "film_id"), "inventory_id"), "film_id")
+    per_category = summed(per_film.join(t["film_category"].select("film_id", "category_id"), "film_id"), "category_id")
+    return (
+        per_category.join(t["category"].select("category_id", F.col("name").alias("category_name")), "category_id")
+        .groupBy("category_name", *by)
+        .agg(_sum("paid").alias("total_revenue"))
+        .where(F.col("total_revenue") > 0)
+    )
+
+
+def category_revenue(t: Tables, as_of) -> DataFrame:
+    """Revenue per category in the quarter of ``as_of``; categories without revenue are left out."""
     start, end = quarter_range(as_of)
     payments = t["payment"]
     per_rental = (
@@ -121,26 +138,8 @@ def category_revenue(t: Tables, as_of) -> DataFrame:
         .groupBy("rental_id")
         .agg(total("amount").alias("paid"))
     )
-    per_copy = (
-        per_rental.join(t["rental"].select("rental_id", "inventory_id"), "rental_id")
-        .groupBy("inventory_id")
-        .agg(_sum("paid").alias("paid"))
-    )
-    per_film = (
-        per_copy.join(t["inventory"].select("inventory_id", "film_id"), "inventory_id")
-        .groupBy("film_id")
-        .agg(_sum("paid").alias("paid"))
-    )
-    per_category = (
-        per_film.join(t["film_category"].select("film_id", "category_id"), "film_id")
-        .groupBy("category_id")
-        .agg(_sum("paid").alias("paid"))
-    )
     return (
-        per_category.join(t["category"].select("category_id", F.col("name").alias("category_name")), "category_id")
-        .groupBy("category_name")
-        .agg(_sum("paid").alias("total_revenue"))
-        .where(F.col("total_revenue") > 0)
+        _per_category(t, per_rental)
         .select(
             "category_name",
             "total_revenue",
@@ -151,6 +150,35 @@ def category_revenue(t: Tables, as_of) -> DataFrame:
     )
 
 
+def category_revenue_at(t: Tables, dates: DataFrame, day: str = "day") -> DataFrame:
+    """``dates`` with the revenue per category in the quarter of each row's own date, one row per category.
+
+    Dates share few quarters, and quarters are whole months. So payments collapse to one row per rental and
+    month, months meet the distinct quarters, and the dates come back at the end. A date without revenue in its
+    quarter, or a NULL one, gives no row.
+    """
+    kind = t["payment"].schema["payment_date"].dataType
+    quarter = F.date_trunc("quarter", F.col(day).cast("timestamp_ntz")).cast("date")
+    asked = dates.withColumn("quarter_start", quarter)
+    quarters = (
+        asked.select("quarter_start").where("quarter_start IS NOT NULL").distinct()
+        .withColumn("_next", F.add_months("quarter_start", 3))
+    )
+    # Whole payments are narrowed by the asked quarters before they collapse.
+    first = quarters.agg(F.min(F.col("quarter_start").cast(kind)).alias("first")).scalar()
+    last = quarters.agg(F.max(F.col("_next").cast(kind)).alias("last")).scalar()
+    monthly = (
+        t["payment"].where((F.col("payment_date") >= first) & (F.col("payment_date") < last))
+        .groupBy("rental_id", F.date_trunc("month", F.col("payment_date").cast("timestamp_ntz")).alias("_month"))
+        .agg(total("amount").alias("paid"))
+    )
+    per_rental = join_ranges(monthly, "_month", quarters, "quarter_start", "_next").select("rental_id", "quarter_start", "paid")
+    revenue = _per_category(t, per_rental, "quarter_start")
+    return asked.join(revenue, "quarter_start").select(
+        *[F.col(f"`{c}`") for c in dates.columns], "category_name", "total_revenue", "quarter_start", F.year("quarter_start").alias("year")
+    )
+
+
 REWARD_COLUMNS = (
     "customer_id", "store_id", "first_name", "last_name", "email", "address_id", "activebool",
     "create_date", "last_update", "active",
