@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.catalog.registry import query
 from tallyhouse.catalog.reports import rental_sql
-from tallyhouse.plans import bulk, changes, customers
+from tallyhouse.plans import batches, bulk, changes, customers
 from tallyhouse.sources.rental import rental_tables
 
 AS_OF = "2005-06-30"
@@ -33,6 +33,38 @@ def _(spark, folder):
     ).affected
 
 
+@query("q12_add_films_batch", rental_sql("""
+    WITH offered AS (
+        SELECT p_partkey AS n, CASE p_partkey % 4 WHEN 0 THEN ' ' || upper(p_name) WHEN 1 THEN 'Sequel of ' || p_name WHEN 2 THEN p_name || (p_partkey % 50)
+               WHEN 3 THEN CASE WHEN p_partkey % 8 = 3 THEN '  ' END END AS title,
+               ['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST', 'ATLANTIS'][1 + p_size % 6] AS language_name FROM part),
+    known AS (
+        SELECT o.*, l.language_id, trim(lower(title)) AS bare FROM offered o
+        LEFT JOIN (SELECT trim(name) AS named, min(language_id) AS language_id FROM language GROUP BY ALL) l ON named = trim(language_name)),
+    placed AS (
+        SELECT k.*, EXISTS (SELECT 1 FROM film f WHERE trim(lower(f.title)) = bare AND f.language_id = k.language_id) AS there,
+               coalesce(trim(title) <> '', FALSE) AS titled FROM known k),
+    judged AS (
+        SELECT *, row_number() OVER (PARTITION BY bare, language_id, titled AND language_id IS NOT NULL AND NOT there ORDER BY n) = 1 AS is_first FROM placed),
+    told AS (
+        SELECT *, CASE WHEN NOT titled THEN 'title cannot be null or empty'
+                       WHEN language_id IS NULL THEN 'language "' || language_name || '" does not exist'
+                       WHEN there OR NOT is_first THEN 'a film with title "' || title || '" already exists for language "' || language_name || '"' END AS reason
+        FROM judged)
+    SELECT n, CASE WHEN reason IS NULL THEN (SELECT max(film_id) FROM film) + row_number() OVER (PARTITION BY reason IS NULL ORDER BY n) END AS film_id,
+           reason IS NULL AS accepted, coalesce(reason, 'film "' || title || '" added') AS message FROM told""", "film", "language"))
+def _(spark, folder):
+    t = rental_tables(spark, folder)
+    n, name = F.col("p_partkey"), F.col("p_name")
+    title = (
+        F.when(n % 4 == 0, F.concat(F.lit(" "), F.upper(name))).when(n % 4 == 1, F.concat(F.lit("Sequel of "), name))
+        .when(n % 4 == 2, F.concat(name, (n % 50).cast("string"))).when(n % 8 == 3, "  ")
+    )
+    languages = F.array(*map(F.lit, ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "ATLANTIS")))
+    offered = t.file("part").select(n.alias("n"), title.alias("title"), F.element_at(languages, (F.col("p_size") % 6 + 1).cast("int")).alias("language_name"))
+    return batches.add_films(t, offered, AS_OF, ["n"]).results.select("n", "film_id", "accepted", "message")
+
+
 # Candidate films: one named after each supplier, and every title that the table has already.
 _OFFERED = """
     SELECT s_name AS title, CAST(1990 + s_suppkey % 30 AS INT) AS release_year, CAST(1 + s_nationkey % 9 AS INT) AS rental_duration,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyhouse.catalog.registry import oracle_over, query
 from tallyhouse.operators import quality, writes
 from tallyhouse.operators.quality import Rule
-from tallyhouse.plans import changes, loads, visits
+from tallyhouse.plans import batches, changes, loads, visits
 from tallyhouse.sources.museum import MUSEUM, MUSEUM_ROWS, MUSEUM_VIEWS, museum_rows, museum_tables
 from tallyhouse.sources.schemas import rules_of
 from tallyhouse.sources.transit import TRANSIT, TRANSIT_ROWS, TRANSIT_VIEWS, transit_rows, transit_tables
@@ -83,6 +83,101 @@ def _(spark, folder):
     return change.affected.select("visit_id", F.lit(message).alias("message"))
 
 
+# --- batches ---------------------------------------------------------------------------------
+
+@query("q21_record_visits_batch", museum_sql("""
+    WITH offered AS (
+        SELECT c_custkey AS n, c_mktsegment AS first_name, CASE WHEN c_custkey % 6 <> 0 THEN c_name ELSE 'Nobody' END AS last_name,
+               CASE WHEN c_custkey % 31 <> 30 THEN 'NATION_' || CAST(c_custkey % 31 AS VARCHAR) END AS exhibition_title,
+               TIMESTAMP '2024-01-01 08:00:00' + to_hours(CAST(c_custkey AS INTEGER)) AS visited_at FROM customer),
+    judged AS (
+        SELECT o.*, v.visitor_id, e.exhibition_id FROM offered o
+        LEFT JOIN (SELECT visitor_first_name, visitor_last_name, min(visitor_id) AS visitor_id FROM m_visitor GROUP BY ALL) v
+               ON v.visitor_first_name = first_name AND v.visitor_last_name = last_name
+        LEFT JOIN (SELECT exhibition_title AS title, min(exhibition_id) AS exhibition_id FROM m_exhibition GROUP BY ALL) e ON e.title = exhibition_title),
+    taken AS (
+        SELECT *, (SELECT max(visit_id) FROM m_visit) + row_number() OVER (ORDER BY n) AS visit_id FROM judged
+        WHERE visitor_id IS NOT NULL AND exhibition_id IS NOT NULL)
+    SELECT n, visit_id, TRUE AS accepted, 'Visit successfully recorded: ' || first_name || ' ' || last_name || ' → ' || exhibition_title
+           || ' at ' || CAST(visited_at AS VARCHAR) AS message FROM taken
+    UNION ALL
+    SELECT n, NULL, FALSE, CASE WHEN visitor_id IS NULL THEN 'Visitor "' || first_name || '" "' || last_name || '" not found'
+           ELSE 'Exhibition "' || coalesce(exhibition_title, 'NULL') || '" not found' END
+    FROM judged WHERE visitor_id IS NULL OR exhibition_id IS NULL""", "m_visit", "m_visitor", "m_exhibition"))
+def _(spark, folder):
+    t = museum_tables(spark, folder)
+    n = F.col("c_custkey")
+    offered = t.file("customer").select(
+        n.alias("n"), F.col("c_mktsegment").alias("first_name"),
+        F.when(n % 6 != 0, F.col("c_name")).otherwise("Nobody").alias("last_name"),
+        F.when(n % 31 != 30, F.concat(F.lit("NATION_"), (n % 31).cast("string"))).alias("exhibition_title"),
+        (F.lit("2024-01-01 08:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), n.cast("int"))).alias("visited_at"),
+    )
+    return batches.record_visits(t, offered, ["n"]).results.select("n", "visit_id", "accepted", "message")
+
+
+_CELLS = """
+    patches AS (
+        SELECT l_partkey % 2050 AS item, l_orderkey * 10 + l_linenumber AS seq,
+               ['item_weight', 'item_title', 'item_value_estimate', 'item_is_on_display', 'item_acquisition_date', 'item_provenance'][1 + l_linenumber % 6] AS name,
+               [NULL, 'T' || l_orderkey, CASE WHEN l_orderkey % 5 = 0 THEN 'cheap' ELSE (l_orderkey % 900) || '.50' END,
+                CASE WHEN l_orderkey % 2 = 0 THEN 'true' ELSE 'false' END, '2021-0' || (1 + l_orderkey % 9) || '-30',
+                CASE WHEN l_orderkey % 3 <> 0 THEN 'Lot ' || l_orderkey END][1 + l_linenumber % 6] AS text
+        FROM lineitem),
+    judged AS (
+        SELECT *, CASE WHEN name = 'item_weight' THEN 'unknown column "item_weight"'
+                       WHEN item NOT IN (SELECT item_id FROM m_item) THEN 'no row with key ' || item
+                       WHEN name = 'item_value_estimate' AND TRY_CAST(text AS DECIMAL(12,2)) IS NULL
+                         OR name = 'item_acquisition_date' AND TRY_CAST(text AS DATE) IS NULL
+                       THEN '"' || text || '" does not fit column "' || name || '"' END AS reason FROM patches)"""
+
+
+def cell_patches(t):
+    key, line = F.col("l_orderkey"), (F.col("l_linenumber") % 6 + 1).cast("int")
+    names = ("item_weight", "item_title", "item_value_estimate", "item_is_on_display", "item_acquisition_date", "item_provenance")
+    text = key.cast("string")
+    values = F.array(
+        F.lit(None).cast("string"), F.concat(F.lit("T"), text),
+        F.when(key % 5 == 0, "cheap").otherwise(F.concat((key % 900).cast("string"), F.lit(".50"))),
+        F.when(key % 2 == 0, "true").otherwise("false"),
+        F.concat(F.lit("2021-0"), (key % 9 + 1).cast("string"), F.lit("-30")),
+        F.when(key % 3 != 0, F.concat(F.lit("Lot "), text)),
+    )
+    return t.file("lineitem").select(
+        (F.col("l_partkey") % 2050).alias("row"), F.element_at(F.array(*map(F.lit, names)), line).alias("column"),
+        F.element_at(values, line).alias("value"), (key * 10 + F.col("l_linenumber")).alias("seq"),
+    )
+
+
+@query("q20_update_cells", museum_sql(f"""
+    WITH {_CELLS},
+    last AS (
+        SELECT item, name, arg_max([text], seq) AS cell FROM judged WHERE reason IS NULL GROUP BY item, name),
+    cells AS (
+        SELECT item, max(cell) FILTER (name = 'item_title') AS a, max(cell) FILTER (name = 'item_value_estimate') AS b,
+               max(cell) FILTER (name = 'item_is_on_display') AS c, max(cell) FILTER (name = 'item_acquisition_date') AS d,
+               max(cell) FILTER (name = 'item_provenance') AS e FROM last GROUP BY item)
+    SELECT item_id, CASE WHEN a IS NULL THEN item_title ELSE a[1] END AS item_title,
+           CASE WHEN b IS NULL THEN item_value_estimate ELSE CAST(b[1] AS DECIMAL(12,2)) END AS item_value_estimate,
+           CASE WHEN c IS NULL THEN item_is_on_display ELSE CAST(c[1] AS BOOLEAN) END AS item_is_on_display,
+           CASE WHEN d IS NULL THEN item_acquisition_date ELSE CAST(d[1] AS DATE) END AS item_acquisition_date,
+           CASE WHEN e IS NULL THEN item_provenance ELSE e[1] END AS item_provenance
+    FROM m_item LEFT JOIN cells ON item = item_id""", "m_item"))
+def _(spark, folder):
+    t = museum_tables(spark, folder)
+    return batches.update_cells(t["item"], "item_id", cell_patches(t)).change.table.select(
+        "item_id", "item_title", "item_value_estimate", "item_is_on_display", "item_acquisition_date", "item_provenance"
+    )
+
+
+@query("q20_refused_cells", museum_sql(f"""
+    WITH {_CELLS} SELECT reason, count(*) AS patches, max(seq) AS last_seq FROM judged WHERE reason IS NOT NULL GROUP BY reason""", "m_item"))
+def _(spark, folder):
+    t = museum_tables(spark, folder)
+    refused = batches.update_cells(t["item"], "item_id", cell_patches(t)).refused
+    return refused.groupBy("reason").agg(F.count(F.lit(1)).alias("patches"), F.max("seq").alias("last_seq"))
+
+
 # --- loads -----------------------------------------------------------------------------------
 
 def museum_load_sql(body: str, *views: str) -> str:
