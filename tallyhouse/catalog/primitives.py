@@ -10,6 +10,7 @@ from tallyhouse.catalog.registry import query
 from tallyhouse.catalog.reports import rental_sql
 from tallyhouse.functions.periods import in_range, instant, quarter_range
 from tallyhouse.functions.scalars import expected_age, full_address, total
+from tallyhouse.operators.extremes import widest_pairs
 from tallyhouse.operators.numbering import number_rows
 from tallyhouse.operators.picks import first_per_key, random_pick, top
 from tallyhouse.operators.ranges import join_ranges
@@ -574,6 +575,16 @@ def _(spark, folder):
     )
 
 
+@query("a06_widest_pair", """
+    SELECT x.l_suppkey, max(abs(x.l_linenumber * 1000 + x.l_orderkey % 997 - (y.l_linenumber * 1000 + y.l_orderkey % 997))) AS widest
+    FROM lineitem x JOIN lineitem y ON x.l_suppkey = y.l_suppkey AND x.l_partkey <> y.l_partkey GROUP BY x.l_suppkey""")
+def _(spark, folder):
+    lines = rental_tables(spark, folder).file("lineitem").select(
+        "l_suppkey", "l_partkey", (F.col("l_linenumber") * 1000 + F.col("l_orderkey") % 997).alias("mark")
+    )
+    return widest_pairs(lines, ["l_suppkey"], "mark", "l_partkey")
+
+
 @query("a07_group_by_columns", """
     SELECT l_returnflag, l_linestatus, count(*) AS lines FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def _(spark, folder):
