@@ -12,6 +12,7 @@ from tallyhouse.functions.periods import in_range, instant, quarter_range
 from tallyhouse.functions.scalars import expected_age, full_address, total
 from tallyhouse.operators.extremes import widest_pairs
 from tallyhouse.operators.numbering import number_rows
+from tallyhouse.operators.patterns import match_patterns
 from tallyhouse.operators.picks import first_per_key, random_pick, top
 from tallyhouse.operators.ranges import join_ranges
 from tallyhouse.session import fresh_path
@@ -197,6 +198,23 @@ def _(spark, folder):
     return rental_tables(spark, folder).file("part").where(F.col("p_name").ilike("ReD%")).select("p_partkey", "p_name")
 
 
+@query("p12_many_patterns", """
+    WITH asked AS (
+        SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN '%' || upper(substr(s_name, 1, 4)) || '_%' WHEN 1 THEN '%omer#%' || CAST(s_suppkey * 7 AS VARCHAR) || '%'
+               WHEN 2 THEN '%' || CAST(s_suppkey % 10 AS VARCHAR) || '_' WHEN 3 THEN 'CUSTOMER#______' || lpad(CAST(s_suppkey AS VARCHAR), 3, '0') END AS pattern FROM supplier)
+    SELECT c_custkey, s_suppkey, pattern FROM customer JOIN asked ON c_name ILIKE pattern""")
+def _(spark, folder):
+    t, key = rental_tables(spark, folder), F.col("s_suppkey")
+    asked = t.file("supplier").select("s_suppkey", (
+        F.when(key % 5 == 0, F.concat(F.lit("%"), F.upper(F.substring("s_name", 1, 4)), F.lit("_%")))
+        .when(key % 5 == 1, F.concat(F.lit("%omer#%"), (key * 7).cast("string"), F.lit("%")))
+        .when(key % 5 == 2, F.concat(F.lit("%"), (key % 10).cast("string"), F.lit("_")))
+        .when(key % 5 == 3, F.concat(F.lit("CUSTOMER#______"), F.lpad(key.cast("string"), 3, "0")))
+    ).alias("pattern"))
+    found = match_patterns(t.file("customer").select("c_custkey", "c_name"), "c_name", asked, "pattern")
+    return found.select("c_custkey", "s_suppkey", "pattern")
+
+
 @query("p13_searched_case", """
     SELECT o_orderkey, CASE WHEN o_totalprice > 400000 THEN 'high' WHEN o_totalprice > 100000 THEN 'middle' ELSE 'low' END AS band
     FROM orders""")
