@@ -16,7 +16,8 @@ Tiles become links in three rounds; the first two make large groups of near copi
    differ by more cannot link), and bands of many classes into blocks, compared two by two. Only tiles with
    several components are left. Classes of different components are compared by bitmap signatures: bit b is
    the parity of the members that hash to b, so the bits that differ number at most the members that one set
-   has and the other hasn't. That bounds the overlap from above; pairs that pass are candidates.
+   has and the other hasn't. That bounds the overlap from above; pairs that pass are candidates. Signatures
+   have two to four bits a member, so that they tell long texts apart as well as short ones.
 
 A candidate is a link only by intersecting both whole sorted arrays. Nothing is capped: a block pair is compared
 within one task, by numpy, first by signatures; classes that are in a candidate come again with their texts,
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
@@ -50,7 +51,7 @@ from tallyhouse.sources.sinks import create_table_as
 SHINGLE = 5
 PERCENT = 80
 #: Counters that order the members, and the segments they are merged by.
-COUNTERS = 1 << 21
+COUNTERS = 1 << 22
 SEGMENTS = 64
 #: Shared members, or classes, that may be broadcast: up to 48 bytes each.
 FEW = 500_000
@@ -58,8 +59,9 @@ FEW = 500_000
 BLOCK = 256
 #: Partners of a class that one task intersects with it.
 PARTNERS = 1000
-#: Bits of a signature.
-BITS = 1024
+#: Bits of a signature: twice the members, within these limits.
+MIN_BITS = 256
+MAX_BITS = 32768
 
 
 def members_of(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,12 +167,40 @@ def _heads(size: int, percent: int, levels):
 
 
 def _signatures(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Parity bits of each set, in words of 64: two to four bits a member, a power of two."""
+    words = 1 << np.ceil(np.log2(np.clip(2 * counts, MIN_BITS, MAX_BITS) / 64)).astype(np.int64)
+    first = np.cumsum(words) - words
     owner = np.repeat(np.arange(len(counts)), counts)
-    bit = (mix(values.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(BITS)).astype(np.int64)
-    odd = np.zeros((len(counts), BITS), np.uint8)
-    np.bitwise_xor.at(odd.reshape(-1), owner * BITS + bit, 1)
-    words = np.packbits(odd, axis=1).view(np.int64).reshape(-1)
-    return _lists(words, np.full(len(counts), BITS // 64))
+    spread = mix(values.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+    bit = (spread & (64 * words[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.zeros(64 * int(words.sum()), np.uint8)
+    np.bitwise_xor.at(odd, 64 * first[owner] + bit, 1)
+    # Little-endian words, so that bit b of a signature is bit b % 64 of word b // 64.
+    return _lists(np.packbits(odd, bitorder="little").view(np.int64), words)
+
+
+def _bits_apart(bits: pa.ListArray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits that differ between the signatures of rows x and y; the longer of two is folded to the shorter."""
+    flat, size = bits.flatten().to_numpy().view(np.uint64), bits.value_lengths().to_numpy().astype(np.int64)
+    first = np.cumsum(size) - size
+    out = np.zeros(len(x), np.int64)
+    shorter = np.minimum(size[x], size[y])
+    for width in np.unique(shorter):
+        pairs = np.flatnonzero(shorter == width)
+        used = np.unique(np.concatenate((x[pairs], y[pairs])))
+        at = np.full(len(size), -1)
+        table = []
+        for folds in np.unique(size[used] // width):
+            rows = used[size[used] == folds * width]
+            at[rows] = np.arange(len(rows)) + sum(map(len, table))
+            parts = flat[first[rows][:, None] + np.arange(folds * width)].reshape(len(rows), folds, width)
+            table.append(np.bitwise_xor.reduce(parts, axis=1))
+        table = np.concatenate(table)
+        room = max(1, (1 << 19) // int(width))
+        for lo in range(0, len(pairs), room):
+            p = pairs[lo : lo + room]
+            out[p] = np.bitwise_count(table[at[x[p]]] ^ table[at[y[p]]]).sum(axis=1)
+    return out
 
 
 def _whole_sets(size: int):
@@ -233,7 +263,7 @@ def _candidates(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, n
     n, group, block = (rows.column(x).to_numpy() for x in ("n", "component", "block"))
     upper = rows.column("upper").to_numpy()
     alone = rows.column("i").to_numpy() == rows.column("j").to_numpy()
-    bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), BITS // 64)
+    bits = rows.column("bits").combine_chunks()
     tile = _tiles(rows)
     out = [(np.zeros(0, np.int64),) * 3]
     for step in range(1, int(np.bincount(tile).max(initial=1))):
@@ -243,7 +273,7 @@ def _candidates(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, n
         x, y = x[ok], y[ok]
         ok = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
         x, y = x[ok], y[ok]
-        apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1).astype(np.int64)
+        apart = _bits_apart(bits, x, y)
         # Overlap is at most (n[x] + n[y] - apart) / 2.
         ok = apart * (100 + percent) <= (100 - percent) * (n[x] + n[y])
         out.append((x[ok], y[ok], apart[ok]))
@@ -417,7 +447,15 @@ def jaccard_components(
         """The pairs whose sizes and signatures allow a link."""
         for x in ("a", "b"):
             pairs = pairs.join(sets.select(F.col("c").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")), x)
-        differ = sum((F.bit_count(F.col("bits_a")[k].bitwiseXOR(F.col("bits_b")[k])) for k in range(BITS // 64)), F.lit(0))
+        width = F.least(F.size("bits_a"), F.size("bits_b"))
+
+        def folded(bits: str, k) -> Column:
+            parts = F.sequence(F.lit(0), (F.size(bits) / width).cast("int") - 1)
+            return F.aggregate(parts, F.lit(0).cast("long"), lambda word, j: word.bitwiseXOR(F.get(bits, k + j * width)))
+
+        differ = F.aggregate(
+            F.sequence(F.lit(0), width - 1), F.lit(0), lambda total, k: total + F.bit_count(folded("bits_a", k).bitwiseXOR(folded("bits_b", k)))
+        )
         sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
         return pairs.where(sizes & (differ * (100 + percent) <= (100 - percent) * (F.col("n_a") + F.col("n_b")))).select("a", "b")
 

@@ -104,14 +104,18 @@ def test_counters_tell_frequent_members(spark):
 
 
 def test_signatures_bound_the_overlap():
+    """Also where the two have signatures of different lengths: the longer one is folded."""
     r = np.random.default_rng(1)
-    for n, changed in ((40, 3), (300, 40), (3000, 700), (5, 5)):
+    lengths = set()
+    for n, changed, more in ((40, 3, 2), (300, 40, 2), (3000, 300, 2), (5, 5, 2), (500, 20, 60), (1000, 30, 100), (120, 0, 20)):
         x = r.integers(-(1 << 62), 1 << 62, n)
-        y = np.concatenate((x[changed:], r.integers(-(1 << 62), 1 << 62, changed + 2)))
-        bits = op._signatures(np.concatenate((x, y)), np.array([n, len(y)])).flatten().to_numpy().reshape(2, -1)
-        differ = int(np.bitwise_count((bits[0] ^ bits[1]).view(np.uint64)).sum())
+        y = np.concatenate((x[changed:], r.integers(-(1 << 62), 1 << 62, changed + more)))
+        bits = op._signatures(np.concatenate((x, y)), np.array([n, len(y)]))
+        lengths.add(tuple(bits.value_lengths().to_pylist()))
+        differ = int(op._bits_apart(bits, np.array([0]), np.array([1]))[0])
         assert len(np.intersect1d(x, y)) <= (n + len(y) - differ) / 2
-        assert 0 < differ <= 2 * changed + 2
+        assert 0 < differ <= 2 * changed + more
+    assert any(a != b for a, b in lengths)
 
 
 def test_members_are_distinct_and_sorted():
