@@ -170,3 +170,23 @@ def test_constraint_report_scans_each_table_once(spark, settings):
     assert text.count("FileScan parquet") == len(MUSEUM)
     # two views are distinct rows; the report itself groups by rule and key, then by rule
     assert text.count("Exchange hashpartitioning") == 4
+
+
+def test_constraint_report_groups_by_numbers(spark):
+    text = plan(quality.constraint_report(museum_tables(spark, FOLDER), rules_of(MUSEUM)))
+    groups = [line for line in text.splitlines() if "HashAggregate(keys=[number" in line]
+    assert groups and "SortAggregate" not in text and "array<string>" not in text
+
+
+def test_keys_of_text_and_numbers_are_told_apart(spark):
+    """Parts of a key that only differ in where one ends; numbers, NULL parts and references between types."""
+    child = spark.createDataFrame([("ab", "c", 1, 1), ("a", "bc", 1, 2), ("ab", "c", 2, 9), (None, "c", 2, 9), (None, "c", None, None)], "x string, y string, p int, q bigint")
+    parent = spark.createDataFrame([(1, 2), (2, 9), (None, 5)], "p bigint, q int")
+    rules = [
+        quality.unique("child", "x", "y"), quality.primary_key("child", "x", "y"), quality.unique("child", "p", "q"), quality.unique("child", "q"),
+        quality.foreign_key("child", ["p"], "parent", ["p"]), quality.foreign_key("child", ["p", "q"], "parent", ["p", "q"]),
+        quality.foreign_key("child", ["q"], "parent", ["q"]),
+    ]
+    got = [r.violations for r in quality.constraint_report({"child": child, "parent": parent}, rules).sort("rule", "table_name").collect()]
+    named = sorted((rule.name, n) for rule, n in zip(rules, [1, 3, 1, 1, 0, 1, 1], strict=True))
+    assert got == [n for _, n in named]
