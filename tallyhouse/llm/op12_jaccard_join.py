@@ -53,7 +53,7 @@ PERCENT = 80
 #: Counters that order the members, and the segments they are merged by.
 COUNTERS = 1 << 22
 SEGMENTS = 64
-#: Shared members, or classes, that may be broadcast: up to 48 bytes each.
+#: Classes or pairs that may be broadcast: up to 48 bytes each. More of them are joined by exchange.
 FEW = 500_000
 #: Classes of a block.
 BLOCK = 256
