@@ -67,7 +67,7 @@ def _(spark, folder):
     "m_visit", "m_visitor", "m_exhibition"))
 def _(spark, folder):
     t = museum_tables(spark, folder)
-    first = t["visitor"].where(F.col("visitor_last_name") == "Customer#000000003").first()[1]
+    first = t["visitor"].where(F.col("visitor_last_name") == "Customer#000000003").agg(F.min("visitor_first_name")).first()[0]
     change, _message = changes.record_visit(t, first, "Customer#000000003", "NATION_4", "2024-05-05 10:30:00")
     return change.table
 
@@ -78,7 +78,7 @@ def _(spark, folder):
     FROM m_visitor WHERE visitor_last_name = 'Customer#000000003'""", "m_visit", "m_visitor"))
 def _(spark, folder):
     t = museum_tables(spark, folder)
-    first = t["visitor"].where(F.col("visitor_last_name") == "Customer#000000003").first()[1]
+    first = t["visitor"].where(F.col("visitor_last_name") == "Customer#000000003").agg(F.min("visitor_first_name")).first()[0]
     change, message = changes.record_visit(t, first, "Customer#000000003", "NATION_4", "2024-05-05 10:30:00")
     return change.affected.select("visit_id", F.lit(message).alias("message"))
 
