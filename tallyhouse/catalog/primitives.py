@@ -15,6 +15,7 @@ from tallyhouse.operators.numbering import number_rows
 from tallyhouse.operators.patterns import match_patterns
 from tallyhouse.operators.picks import first_per_key, random_pick, top
 from tallyhouse.operators.ranges import join_ranges
+from tallyhouse.plans.revenue import revenue_of_months
 from tallyhouse.session import fresh_path
 from tallyhouse.sources import sinks
 from tallyhouse.sources.rental import rental_tables
@@ -107,6 +108,19 @@ def _(spark, folder):
     )
 
 
+@query("s09_months_of_a_table", rental_sql("""
+    SELECT strftime(payment_date, '%Y-%m') AS pay_month, count(*) AS payments, CAST(sum(amount) AS DECIMAL(38,2)) AS total_revenue
+    FROM payment WHERE strftime(payment_date, '%Y-%m') IN (
+        SELECT strftime(DATE '1993-01-01' + to_months(CAST(n_nationkey * 3 AS INTEGER)), '%Y-%m') FROM nation WHERE n_regionkey = 2)
+    GROUP BY ALL""", "payment"))
+def _(spark, folder):
+    t = rental_tables(spark, folder)
+    payments = sinks.create_month_partitions(t["payment"], "payment_date", "payment-by-month")
+    month = F.date_format(F.add_months(F.lit("1993-01-01").cast("date"), (F.col("n_nationkey") * 3).cast("int")), "yyyy-MM")
+    asked = t.file("nation").where("n_regionkey = 2").select(month.alias("pay_month"))
+    return revenue_of_months(payments, asked)
+
+
 # --- projections and filters ---------------------------------------------------------------
 
 @query("p01_projection_alias", "SELECT o_orderkey AS payment_id, o_custkey AS payer FROM orders")

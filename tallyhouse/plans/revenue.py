@@ -179,6 +179,20 @@ def category_revenue_at(t: Tables, dates: DataFrame, day: str = "day") -> DataFr
     )
 
 
+def revenue_of_months(payments_by_month: DataFrame, months: DataFrame, month: str = "pay_month") -> DataFrame:
+    """(month, payments, total_revenue) of the months that a (filtered) table names.
+
+    ``payments_by_month`` is a table written with one directory per month. Which months are asked is known only
+    when ``months`` has been read; Spark then passes them to the scan, so directories of other months are not
+    opened. The list of months must be small enough for Spark to broadcast it, else all directories are read.
+    """
+    return (
+        payments_by_month.join(months.select(month), month, "left_semi")
+        .groupBy(month)
+        .agg(F.count(F.lit(1)).alias("payments"), total("amount").alias("total_revenue"))
+    )
+
+
 REWARD_COLUMNS = (
     "customer_id", "store_id", "first_name", "last_name", "email", "address_id", "activebool",
     "create_date", "last_update", "active",

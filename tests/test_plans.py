@@ -1,6 +1,8 @@
 """Plans: filters and columns reach the scan, partitions are pruned, hot keys are split."""
 
 from decimal import Decimal
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +81,26 @@ def test_month_partitions_are_pruned(spark):
     assert table.count() == payments.count()
 
 
+def test_months_named_by_a_table_prune_directories(spark):
+    """The scan learns the months at run time: it opens their files only."""
+    t = rental_tables(spark, FOLDER)
+    table = sinks.create_month_partitions(t["payment"], "payment_date", "payment-by-month")
+    months = t.file("region").where("r_regionkey = 3").select(
+        F.concat(F.lit("1997-0"), (F.col("r_regionkey") - 1).cast("string")).alias("pay_month"))
+    # A file that cannot be read, in another month: it does no harm unless it is opened.
+    base = table.inputFiles()[0].rsplit("/pay_month=", 1)[0]
+    broken = Path(urlparse(base).path) / "pay_month=1990-01"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"no parquet at all")
+    table = spark.read.schema(table.schema).parquet(base)
+    result = revenue.revenue_of_months(table, months)
+    got = result.collect()
+    assert "dynamicpruning" in plan(result)
+    assert [r.payments for r in got] == [t["payment"].where("payment_date >= '1997-02-01' AND payment_date < '1997-03-01'").count()]
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        table.select("amount").collect()
+
+
 def test_writes_go_to_fresh_shared_paths(spark):
     one, two = fresh_path(spark, "x"), fresh_path(spark, "x")
     assert one != two and one.startswith(shared_folder(spark).rstrip("/"))
