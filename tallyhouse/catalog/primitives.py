@@ -15,6 +15,7 @@ from tallyhouse.operators.numbering import number_rows
 from tallyhouse.operators.patterns import match_patterns
 from tallyhouse.operators.picks import first_per_key, random_pick, top
 from tallyhouse.operators.ranges import join_ranges
+from tallyhouse.plans.customers import account_totals
 from tallyhouse.plans.revenue import revenue_of_months
 from tallyhouse.session import fresh_path
 from tallyhouse.sources import sinks
@@ -81,6 +82,16 @@ def _(spark, folder):
     return sinks.create_table_as(payments, "payment-copy").where(F.col("amount") > 100000)
 
 
+@query("s07_bucketed_tables", rental_sql("""
+    SELECT customer_id, CAST(coalesce(paid, 0) AS DECIMAL(38,2)) AS paid, coalesce(payments, 0) AS payments, coalesce(rentals, 0) AS rentals
+    FROM cust LEFT JOIN (SELECT customer_id, sum(amount) AS paid, count(*) AS payments FROM payment GROUP BY customer_id) p USING (customer_id)
+    LEFT JOIN (SELECT customer_id, count(*) AS rentals FROM rental GROUP BY customer_id) r USING (customer_id)""", "cust", "payment", "rental"))
+def _(spark, folder):
+    t = rental_tables(spark, folder)
+    stored = {name: sinks.create_bucketed(t[name], name, "customer_id", 8) for name in ("customer", "payment", "rental")}
+    return account_totals(stored)
+
+
 @query("s08_append_rows", rental_sql(
     "SELECT staff_id, count(*) AS payments, max(payment_date) AS latest FROM payment GROUP BY staff_id", "payment"))
 def _(spark, folder):

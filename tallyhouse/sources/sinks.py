@@ -38,3 +38,17 @@ def create_month_partitions(df: DataFrame, time_column: str, label: str, month_c
     # The declared schema keeps the month a string; inference would make it a number or a date.
     fields = df.schema.add(month_column, "string")
     return spark.read.schema(fields).parquet(path)
+
+
+def create_bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` hashed into ``buckets`` by ``key``; tables alike in both are grouped and joined by it without an exchange.
+
+    The files go to the shared folder, the layout is kept in the session's catalog under a name of its own. Meant
+    for keys whose rows are spread evenly: a bucket is read by one task, and a key that holds a third of all rows
+    would hold up its bucket, so leave such a table as it is and let AQE split the exchange.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)

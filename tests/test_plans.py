@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import quality
-from tallyhouse.plans import balance, films, revenue, stock, visits
+from tallyhouse.plans import balance, customers, films, revenue, stock, visits
 from tallyhouse.session import fresh_path, shared_folder
 from tallyhouse.sources import sinks
 from tallyhouse.sources.museum import MUSEUM, museum_tables
@@ -101,6 +101,19 @@ def test_months_named_by_a_table_prune_directories(spark):
         table.select("amount").collect()
 
 
+def test_bucketed_tables_join_without_an_exchange(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    t = rental_tables(spark, FOLDER)
+    names = ("customer", "payment", "rental")
+    plain = {name: t[name] for name in names}
+    stored = {name: sinks.create_bucketed(t[name], name, "customer_id", 4) for name in names}
+    result = customers.account_totals(stored)
+    assert "Exchange" not in plan(result) and "SortMergeJoin" in plan(result)
+    assert "Exchange hashpartitioning(customer_id" in plan(customers.account_totals(plain))
+    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, customers.account_totals(plain).collect()))
+    assert all(shared_folder(spark).split(":")[-1].rstrip("/") in f for f in stored["payment"].inputFiles())
+
+
 def test_writes_go_to_fresh_shared_paths(spark):
     one, two = fresh_path(spark, "x"), fresh_path(spark, "x")
     assert one != two and one.startswith(shared_folder(spark).rstrip("/"))
