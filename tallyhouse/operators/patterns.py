@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.session import shared_folder
+
 #: Letters of the longest substring that is looked up.
 GRAM = 3
+#: Texts and rows of one pattern that a tile pairs.
+TILE = 1000
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -21,32 +25,65 @@ def match_patterns(texts: DataFrame, text: str, patterns: DataFrame, pattern: st
 
     Whatever stands between the wildcards of a pattern must stand in a text, so each pattern is looked up by
     one substring of up to ``GRAM`` letters of it: its longest, and of several the one in fewest texts. Texts
-    give rows only for substrings that some pattern is looked up by, the join is one of equal substrings, and
-    ILIKE has the last word. A pattern of wildcards alone is looked up by the empty substring, which every text
-    has. A backslash escapes, as in SQL. NULLs match nothing.
+    give rows only for substrings that some pattern is looked up by, and the join is one of equal substrings. A
+    text must hold the whole part between wildcards that the substring is from, and ILIKE has the last word. A
+    pattern of wildcards alone is looked up by the empty substring, which every text has. A backslash escapes, as
+    in SQL. NULLs match nothing.
+
+    Equal patterns are matched once. The texts of a pattern then meet its rows in tiles of at most about
+    ``TILE`` by ``TILE``, so a pattern that many rows have and many texts match is spread over tasks.
     """
-    lowered = F.lower(F.col(pattern))
+    shared_folder(texts.sparkSession)
     # What a backslash escapes counts as a gap, so that the rest is surely literal.
-    parts = F.split(lowered, r"[%_]|\\.?")
+    parts = F.split(F.col("_pattern"), r"[%_]|\\.?")
     by_size = [F.flatten(F.transform(parts, lambda part, n=n: _grams(part, n))) for n in range(GRAM, 0, -1)]
     longest = F.array(F.lit(""))
     for grams in reversed(by_size):
         longest = F.when(F.size(grams) > 0, grams).otherwise(longest)
-    named = patterns.withColumn("_pattern", lowered).where("_pattern IS NOT NULL")
-    wanted = named.select("_pattern", F.explode(F.array_distinct(longest)).alias("_gram")).distinct()
+    named = patterns.withColumn("_pattern", F.lower(F.col(pattern))).where("_pattern IS NOT NULL")
+    wanted = named.select("_pattern").distinct().select("_pattern", F.explode(F.array_distinct(longest)).alias("_gram"))
 
     body = F.lower(F.col(text))
     every = F.concat(F.array(F.lit("")), *[_grams(body, n) for n in range(1, GRAM + 1)])
     spread = texts.where(F.col(text).isNotNull()).select("*", F.explode(every).alias("_gram"))
     asked = wanted.select("_gram").distinct()
     often = spread.select("_gram").join(asked, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_texts"))
+    holding = F.filter(parts, lambda part: F.contains(part, F.col("_gram")))
     # A substring that no text has decides at once: its pattern matches nothing.
-    chosen = (
+    looked_up = (
         wanted.join(often, "_gram", "left")
         .groupBy("_pattern")
         .agg(F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_best"))
         .where("_best.n > 0")
         .select("_pattern", F.col("_best.gram").alias("_gram"))
+        .select("*", F.array_max(F.transform(holding, lambda part: F.struct(F.length(part), part.alias("part")))).alias("_long"))
+        .select("_pattern", "_gram", F.coalesce("_long.part", F.lit("")).alias("_part"))
+        .checkpoint()
     )
-    looked_up = named.join(chosen, "_pattern")
-    return spread.join(looked_up, "_gram").where(F.expr(f"lower(`{text}`) LIKE _pattern")).drop("_gram", "_pattern")
+    near = spread.join(looked_up.select("_gram").distinct(), "_gram", "left_semi")
+    # Spark takes the exploded texts for as small as their file and would broadcast them: merged instead.
+    matched = (
+        near.join(looked_up.hint("merge"), "_gram")
+        .where(F.contains(body, F.col("_part")) & F.expr(f"lower(`{text}`) LIKE _pattern"))
+        .select(*texts.columns, "_pattern", F.monotonically_increasing_id().alias("_text"))
+        .checkpoint()
+    )
+    rows = named.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    return _tiled(matched, rows).select(*texts.columns, *patterns.columns)
+
+
+def _tiled(matched: DataFrame, rows: DataFrame) -> DataFrame:
+    """``matched`` joined with ``rows`` by _pattern, a tile at a time; both are checkpoints, so ids stay."""
+
+    def side(df: DataFrame, own: str, id_: str, other: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(id_), F.col(f"{own}_n")).alias(own)
+        copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_n") - 1)).alias(other)
+        return df.join(tiles, "_pattern").select(*df.columns, place, copies)
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("_pattern").agg(F.ceil(F.count(F.lit(1)) / TILE).alias(name))
+
+    tiles = counted(matched, "_across_n").join(counted(rows, "_down_n"), "_pattern")
+    across = side(matched, "_across", "_text", "_down")
+    down = side(rows, "_down", "_row", "_across")
+    return across.join(down.hint("merge"), ["_pattern", "_across", "_down"])

@@ -37,3 +37,21 @@ def test_a_thousand_patterns_join_by_equality(spark):
     text = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in text and "Cartesian" not in text
     assert got.count() == 1000 and got.where("id <> 2 * n").count() == 0
+
+
+def test_a_pattern_of_many_rows_and_texts_is_dealt_to_tiles(spark, monkeypatch):
+    monkeypatch.setattr("tallyhouse.operators.patterns.TILE", 10)
+    texts = spark.range(300).select("id", F.concat(F.lit("a"), F.col("id").cast("string")).alias("body"))
+    patterns = spark.range(200).select(F.col("id").alias("n"), F.lit("A%").alias("pat"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = match_patterns(texts, "body", patterns, "pat")
+        # Neither the texts nor the rows of the one pattern are sent whole to a task.
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [_pattern" in plan and "_across" in plan and "_down" in plan
+        spread = got.groupBy(F.spark_partition_id()).count().collect()
+        assert len(spread) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert got.count() == got.distinct().count() == 300 * 200
