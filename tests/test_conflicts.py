@@ -94,3 +94,16 @@ def test_connected_groups(spark):
     got = {r.node: r.group for r in connected_groups(frame).collect()}
     assert got == {**{i: 0 for i in range(41)}, 500: 0, 100: 100, 200: 100, **{i: 50 for i in (50, 60, 70, 80, 90)}}
     assert connected_groups(frame.limit(0)).count() == 0
+
+
+def test_a_long_chain_of_neighbours_needs_no_turns(spark, monkeypatch):
+    """Each turn is several jobs and about halves a chain; a task joins neighbours at once."""
+    monkeypatch.setattr("tallyhouse.operators.groups.CHUNK", 700, raising=False)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    links = spark.range(1, 20_000).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
+    try:
+        got, jobs = jobs_of(spark, lambda: connected_groups(links).agg(F.count("node"), F.max("group")).first())
+        assert tuple(got) == (20_000, 0) and jobs < 25
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
