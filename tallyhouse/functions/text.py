@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.stemming import stems
+from tallyhouse.sources.sinks import create_table_as
 
 # The public English stop-word list of PostgreSQL's text search.
 ENGLISH_STOP_WORDS = (
@@ -18,6 +19,9 @@ ENGLISH_STOP_WORDS = (
     "not only own same so than too very s t can will just don should now"
 ).split()
 
+#: Words that are broadcast with their stems; a few MB.
+COMMON = 50_000
+
 WORD_PATTERN = r"[\p{L}\p{N}]+"
 
 
@@ -47,17 +51,18 @@ def lexeme_positions(
 ) -> DataFrame:
     """(key, lexeme, positions): the stems of each text with their sorted positions, as a search vector lists them.
 
-    Words become one row per text and distinct word before they meet the stems, which are worked out
-    once for each distinct word of all texts. That list grows with the vocabulary, not with the text.
+    Stems are worked out once for each distinct word of all texts. That list grows with the vocabulary, so only
+    its ``COMMON`` most frequent words, which make up most of the texts, are broadcast; positions of other words
+    meet their stems by an exchange. Then each position is shuffled once, with the others of its stem and text.
     """
-    per_word = (
-        term_positions(documents, key, text, stop_words)
-        .groupBy(key, "term")
-        .agg(F.collect_list("position").alias("positions"))
-    )
-    vocabulary = stems(per_word.select("term").distinct(), "term", "lexeme")
+    terms = term_positions(documents, key, text, stop_words)
+    counted = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary = create_table_as(stems(counted, "term", "lexeme"), "vocabulary")
+    common = create_table_as(vocabulary.orderBy(F.desc("n"), "term").limit(COMMON).select("term", "lexeme"), "common-words")
+    near = terms.join(F.broadcast(common), "term")
+    others = terms.join(F.broadcast(common.select("term")), "term", "left_anti").join(vocabulary.select("term", "lexeme"), "term")
     return (
-        per_word.join(vocabulary, "term")
+        near.unionByName(others)
         .groupBy(key, "lexeme")
-        .agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))
+        .agg(F.array_sort(F.collect_list("position")).alias("positions"))
     )

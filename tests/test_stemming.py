@@ -59,3 +59,13 @@ def test_each_word_is_stemmed_once(spark):
     many = spark.range(300).selectExpr("id AS doc_id", "repeat('running ponies happily ', 20) AS text")
     got = lexeme_positions(many)
     assert got.count() == 900 and {len(r.positions) for r in got.collect()} == {20}
+
+
+def test_only_positions_of_rare_words_meet_their_stems_by_exchange(texts, monkeypatch):
+    monkeypatch.setattr("tallyhouse.functions.text.COMMON", 3, raising=False)
+    got = lexeme_positions(texts)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [term" in plan and "LeftAnti" in plan
+    assert {(r.doc_id, r.lexeme): r.positions for r in got.collect()} == {
+        (1, "runner"): [2, 6], (1, "run"): [4, 7], (2, "poni"): [1, 2, 5], (6, "drama"): [1], (6, "teacher"): [4],
+    }
