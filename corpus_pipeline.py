@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.op2_repeats import cut_repeats
 from tallyhouse.llm.op5_toxicity import held_out, score
 from tallyhouse.llm.op6_near_dups import near_duplicates
-from tallyhouse.llm.op8_sentencepiece import decode, encode
+from tallyhouse.llm.op8_sentencepiece import encode_and_decode
 from tallyhouse.llm.op9_mixing import mix_sources
 from tallyhouse.llm.tables import read
 from tallyhouse.session import fresh_path
@@ -52,7 +52,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    both = decode(encode(docs))
+    both = encode_and_decode(docs)
     return both.withColumn("lossless", F.coalesce("decoded", F.lit("")) == F.coalesce("text", F.lit(""))).drop("decoded")
 
 

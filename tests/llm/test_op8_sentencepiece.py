@@ -2,7 +2,9 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from tallyhouse.llm.op8_sentencepiece import MODEL, decode, encode, op8_sentencepiece
+import corpus_pipeline
+from tallyhouse.llm import op8_sentencepiece as module
+from tallyhouse.llm.op8_sentencepiece import MODEL, Transducer, decode, encode, op8_sentencepiece
 from tallyhouse.llm.tables import read
 
 
@@ -44,3 +46,33 @@ def test_query_over_whole_documents(spark, library):
     got = op8_sentencepiece(spark, folder).collect()
     assert {r.doc_id: r.ids for r in got} == {i: library.encode(t) for i, t in texts.items()}
     assert all(r.lossless for r in got)
+
+
+def test_one_worker_encodes_and_decodes(spark, library, odd_texts):
+    """Ids don't travel to a second worker, which would hold another copy of the model beside the first."""
+    folder = "/root/testdata/sf0.001"
+    docs = read(spark, folder, "documents")
+    for df in (op8_sentencepiece(spark, folder), corpus_pipeline.sentencepiece(spark, docs, folder)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    odd = spark.createDataFrame([*enumerate(odd_texts), (-1, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.ids, r.n_ids, r.decoded) for r in module.encode_and_decode(odd).collect()}
+    assert got == {r.doc_id: (r.ids, r.n_ids, r.decoded) for r in decode(encode(odd)).collect()}
+
+
+def test_small_tables_give_the_same_ids(monkeypatch, library):
+    """Parts that are met again come back from the older table; neither grows beyond its bound."""
+    monkeypatch.setattr(module, "KEPT", 3)
+    monkeypatch.setattr(module, "WINDOWS_KEPT", 2)
+    machine = Transducer(public_tokenizers.path(MODEL))
+    searched, path = [], machine.path
+    monkeypatch.setattr(machine, "path", lambda part: searched.append(part) or path(part), raising=False)
+    text = "never more than a few words are kept, never more, internationalisation never"
+    for _ in range(2):
+        raw = machine.encode(text)
+        assert [int.from_bytes(raw[k : k + 4], "little") for k in range(0, len(raw), 4)] == library.encode(text)
+        assert len(machine) <= 3 and len(machine.older) <= 3 and len(machine.near) <= 2
+    machine.clear()
+    machine.older = {"\u2581never": machine["\u2581never"]}
+    machine.clear()
+    searched.clear()
+    assert machine["\u2581never"] == machine.older["\u2581never"] and not searched
