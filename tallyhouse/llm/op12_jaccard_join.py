@@ -13,7 +13,8 @@ Tiles become links in three rounds; the first two make large groups of near copi
 1. every class against the smallest class of all its tiles,
 2. against the smallest class of each tile, if still in another component,
 3. size-banded tiles: a tile is cut by set size, each band meeting itself and the next one (sets whose sizes
-   differ by more cannot link), and bands of many classes into blocks, compared two by two. Only tiles with
+   sizes differ by more cannot link), and bands of many classes into blocks, compared two by two. A block travels as
+   one row that holds its classes, so a class is joined once a band, and only block rows are repeated. Only tiles with
    several components are left. Classes of different components are compared by bitmap signatures: bit b is
    the parity of the members that hash to b, so the bits that differ number at most the members that one set
    has and the other hasn't. That bounds the overlap from above; pairs that pass are candidates. Signatures
@@ -57,6 +58,8 @@ SEGMENTS = 64
 FEW = 500_000
 #: Classes of a block.
 BLOCK = 256
+#: Members of all classes of a block: one of large sets holds fewer classes.
+BLOCK_MEMBERS = 1 << 19
 #: Partners of a class that one task intersects with it.
 PARTNERS = 1000
 #: Bits of a signature: twice the members, within these limits.
@@ -281,11 +284,14 @@ def _candidates(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _suspects(percent: int):
-    """The rows of block pairs that are in a candidate pair."""
+    """One row for each block pair that holds a candidate, with the classes ``cs`` of its candidates."""
 
     def run(rows: pa.Table) -> pa.Table:
         x, y, _ = _candidates(rows, percent)
-        return rows.drop_columns(["n", "bits"]).take(pa.array(np.unique(np.concatenate((x, y)))))
+        found = np.unique(np.concatenate((x, y)))
+        _, first, counts = np.unique(_tiles(rows)[found], return_index=True, return_counts=True)
+        out = rows.select(["key", "band", "i", "j"]).take(pa.array(found[first]))
+        return out.append_column("cs", _lists(rows.column("c").to_numpy()[found], counts))
 
     return run
 
@@ -327,13 +333,22 @@ def _links_within(size: int, percent: int):
     return run
 
 
+def _unrolled(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A row for each class of the blocks that the rows of ``batch`` hold."""
+    lists = batch.column("classes")
+    classes = lists.flatten()
+    place = pa.array(np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()))
+    of_block = batch.drop_columns(["classes"]).take(place)
+    return pa.RecordBatch.from_arrays([*of_block.columns, *classes.flatten()], names=[*of_block.schema.names, *(x.name for x in classes.type)])
+
+
 def _tile_by_tile(work):
-    """``work`` on whole tiles; rows come sorted by tile, so a tile is a stretch of rows."""
+    """``work`` on whole tiles; blocks come sorted by tile, so a tile is a stretch of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            held.append(batch)
+            held.append(_unrolled(batch))
             rows = pa.Table.from_batches(held).combine_chunks()
             tile = _tiles(rows)
             whole = int(np.searchsorted(tile, tile[-1])) if len(tile) else 0  # the last tile may go on
@@ -386,28 +401,35 @@ def _banded(members: DataFrame, sets: DataFrame, labels: DataFrame, size: int, p
     )
     mixed = (
         named.groupBy("key", "band")
-        .agg(F.count(F.lit(1)).alias("many"), F.max("upper").alias("any"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("all"), F.max("upper").alias("any"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("any AND lo != hi")
-        .select("key", "band", F.ceil(F.col("many") / block).cast("int").alias("blocks"))
+        .select("key", "band", F.greatest(F.ceil(F.col("many") / block), F.ceil(F.col("all") / BLOCK_MEMBERS)).cast("int").alias("blocks"))
     )
     own = F.pmod(F.xxhash64("c", "key"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    seated = (
-        named.join(mixed, ["key", "band"])
-        .withColumn("block", own)
-        .select("key", "band", "upper", "c", "component", "block", other)
-        .select("key", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "upper", "c", "component")
-    )
+    seated = settle(named.join(mixed, ["key", "band"]).withColumn("block", own))
     tile = ["key", "band", "i", "j"]
-    seat = [*tile, "block", "upper", "c", "component"]
 
-    def dealt(seats: DataFrame, *of_sets: str) -> DataFrame:
-        rows = seats.join(sets.select("c", *of_sets), "c").select(*seat, *of_sets)
-        return rows.repartition(*tile).sortWithinPartitions(*tile)
+    def in_blocks(seats: DataFrame, *of_sets: str) -> DataFrame:
+        """One row a block, with all of its classes."""
+        rows = seats.join(sets.select("c", *of_sets), "c")
+        classes = F.collect_list(F.struct("upper", "c", "component", "n", *of_sets)).alias("classes")
+        return rows.groupBy("key", "band", "blocks", "block").agg(classes)
 
-    kinds = "key long, band int, i int, j int, block int, upper boolean, c long, component long"
-    suspects = settle(dealt(seated, "n", "bits").mapInArrow(_tile_by_tile(_suspects(percent)), kinds))
-    return settle(dealt(suspects, "n", "bits", "packed").mapInArrow(_tile_by_tile(_links_within(size, percent)), "a long, b long"))
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.select(*tile, "block", "classes").repartition(*tile).sortWithinPartitions(*tile)
+
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    met = (
+        in_blocks(seated, "bits")
+        .select("key", "band", "block", "classes", other)
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    )
+    suspects = settle(dealt(met).mapInArrow(_tile_by_tile(_suspects(percent)), "key long, band int, i int, j int, cs array<long>"))
+    again = suspects.select("key", "band", F.explode("cs").alias("c")).distinct()
+    # Block pairs by each of their blocks.
+    sides = suspects.select(*tile, F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    held = in_blocks(seated.join(again, ["key", "band", "c"]), "bits", "packed").join(sides, ["key", "band", "block"])
+    return settle(dealt(held).mapInArrow(_tile_by_tile(_links_within(size, percent)), "a long, b long"))
 
 
 def jaccard_components(

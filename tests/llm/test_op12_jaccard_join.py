@@ -122,3 +122,42 @@ def test_members_are_distinct_and_sorted():
     values, n = op.members_of(pa.array(["a b c d e a b c d e a", None, "x y", "A B C D E"]), 5)
     assert n.tolist() == [5, 0, 1, 1]
     assert (np.diff(values[:5]) > 0).all() and values[6] in values[:5]
+
+
+def test_blocks_travel_as_rows(spark, monkeypatch):
+    """Of a tile of 64 near copies in blocks of 8, no table has a row for each copy and block pair."""
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    from tallyhouse.llm import op12_jaccard_join as module
+
+    texts = [" ".join(f"x{c}y{k}" if (c * 7 + k * k) % 23 == 0 else f"w{k}" for k in range(60)) for c in range(64)]
+    values, n = module.members_of(pa.array(texts, pa.large_string()), 2)
+    sets = [set(x.tolist()) for x in np.split(values, np.cumsum(n)[:-1])]
+    bits = module._signatures(values, n).to_pylist()
+    packed = [zstandard.ZstdCompressor().compress(t.encode()) for t in texts]
+    rows = [(c, int(n[c]), bits[c], bytearray(packed[c])) for c in range(64)]
+    of_sets = spark.createDataFrame(rows, "c long, n long, bits array<long>, packed binary")
+    members = of_sets.selectExpr("5L AS key", "c", "n")
+    labels = spark.createDataFrame([(c, 0) for c in range(3)], "node long, component long")
+    counts, settle = [], module.settle
+
+    def noted(df):
+        out = settle(df)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "settle", noted)
+    links = {(r.a, r.b) for r in module._banded(members, of_sets, labels, 2, 80, 8).collect()}
+    assert max(counts[:-1]) <= 2 * 64  # once in its own band and once for the band above
+
+    def parts(pairs):
+        up = list(range(64))
+        for a, b in [(0, 1), (0, 2), *pairs]:
+            up = [up[a] if x == up[b] else x for x in up]
+        return {frozenset(c for c in range(64) if up[c] == x) for x in up}
+
+    similar = {(a, b) for a in range(64) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert similar and {tuple(sorted(x, reverse=True)) for x in links} <= similar
+    assert parts(links) == parts(similar)
