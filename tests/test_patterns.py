@@ -3,6 +3,7 @@
 import random
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.patterns import match_patterns
@@ -55,3 +56,61 @@ def test_a_pattern_of_many_rows_and_texts_is_dealt_to_tiles(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
     assert got.count() == got.distinct().count() == 300 * 200
+
+
+def test_few_bytes_that_make_many_pairs_are_dealt_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr("tallyhouse.operators.patterns.TILE", 50)
+    texts = spark.range(2000, numPartitions=1).select("id", F.concat(F.lit("Item no. "), F.col("id").cast("string")).alias("body"))
+    patterns = spark.range(100).select(F.col("id").alias("n"), F.concat(F.lit("%item%"), (F.col("id") % 10).cast("string")).alias("pat"))
+    kind, plans, kept = type(texts), [], []
+    checkpoint = kind.checkpoint
+
+    def recorded(df, *args):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        kept.append(checkpoint(df, *args))
+        return kept[-1]
+
+    monkeypatch.setattr(kind, "checkpoint", recorded)
+    got = match_patterns(texts, "body", patterns, "pat")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    # Texts against patterns, and texts of a pattern against its rows.
+    matched = next(df for df in kept if df.columns == ["id", "body", "_pattern", "_text"])
+    assert matched.select(F.spark_partition_id()).distinct().count() == tasks
+    assert got.select(F.spark_partition_id()).distinct().count() == tasks
+    # A regular expression of a column is kept from row to row, that of LIKE is compiled for each.
+    assert "regexp_instr" in next(plan for columns, plan in plans if columns == ["id", "body", "_pattern", "_text"])
+    assert got.count() == got.distinct().count() == 2000 * 10
+
+
+def test_letters_that_mean_something_to_regular_expressions(spark, monkeypatch):
+    monkeypatch.setattr("tallyhouse.operators.patterns.PIECE", 4, raising=False)
+    monkeypatch.setattr("tallyhouse.operators.patterns.TILE", 7)
+    r = random.Random(4)
+    letters = ["\\", ".", "^", "$", "[", "]", "(", ")", "{", "}", "|", "*", "+", "?", "Q", "E", "d", "\n", "#", "😀", "é", "0", "-", "%", "_"]
+    texts = [(i, "".join(r.choice(letters) for _ in range(r.randrange(0, 30)))) for i in range(150)]
+    patterns = []
+    for j in range(150):
+        # A stretch of a text with some of it behind wildcards.
+        body = r.choice(texts)[1]
+        at = r.randrange(0, len(body) + 1)
+        part = [r.choice(["%", "_"]) if r.random() < 0.15 else "\\" + c if c in "\\%_" else c for c in body[at : at + r.randrange(0, 20)]]
+        patterns.append((j, r.choice(["", "%"]) * (at > 0) + "".join(part) + r.choice(["", "%"])))
+    got = match_patterns(spark.createDataFrame(texts, "i int, body string"), "body", spark.createDataFrame(patterns, "j int, pat string"), "pat")
+    want = expected(texts, patterns)
+    assert len(want) > 150 and sorted((row.i, row.j) for row in got.collect()) == want
+
+
+@pytest.mark.parametrize("pattern", ["%ab\\c", "%ab\\"])
+def test_an_escape_that_like_refuses(spark, pattern):
+    patterns = spark.createDataFrame([(1, pattern)], "n int, pat string")
+    none = spark.createDataFrame([(1, "xyz")], "i int, body string")
+    assert match_patterns(none, "body", patterns, "pat").count() == 0
+    with pytest.raises(Exception, match="ESC_"):
+        match_patterns(spark.createDataFrame([(1, "xabc")], "i int, body string"), "body", patterns, "pat").count()
+
+
+def test_a_long_part_far_into_a_pattern(spark):
+    texts = spark.createDataFrame([(1, "a-b-c-efghi"), (2, "a-b-c-efgh")], "i int, body string")
+    patterns = spark.createDataFrame([(1, "%a%b%c%EFGHI%")], "j int, pat string")
+    assert [row.i for row in match_patterns(texts, "body", patterns, "pat").collect()] == [1]
