@@ -13,6 +13,8 @@ GRAM = 6
 TILE = 1000
 #: Letters that a text is cut into, so that any place in it is near the start of a piece.
 PIECE = 64
+#: Substrings, of ``GRAM`` letters at most, that are sent to every task; of more of them Spark decides.
+SENT = 100_000
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -75,10 +77,12 @@ def match_patterns(texts: DataFrame, text: str, patterns: DataFrame, pattern: st
     told = texts.where(F.col(text).isNotNull()).repartition(tasks).withColumn("_text", F.monotonically_increasing_id()).checkpoint()
     body = F.lower(F.col(text))
     asked = wanted.select("_gram").distinct()
-    # At most GRAM + 1 numbers.
-    sizes = sorted(row[0] for row in asked.select(F.length("_gram")).distinct().collect())
-    spread = _spread(told, text, sizes)
-    often = spread.select("_gram").join(asked, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_often"))
+    # At most GRAM + 1 rows.
+    sizes = {row["n"]: row["count"] for row in asked.groupBy(F.length("_gram").alias("n")).count().collect()}
+    spread = _spread(told, text, sorted(sizes))
+    # Else Spark may shuffle every substring of every text before it learns how few are asked for.
+    sent = F.broadcast if sum(sizes.values()) <= SENT else lambda df: df
+    often = spread.select("_gram").join(sent(asked), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_often"))
     holding = F.filter(parts, lambda part: F.contains(part, F.col("_gram")))
     # A substring that no text has decides at once: its pattern matches nothing.
     looked_up = (
@@ -92,7 +96,7 @@ def match_patterns(texts: DataFrame, text: str, patterns: DataFrame, pattern: st
         .checkpoint()
     )
     near = (
-        spread.join(looked_up.select("_gram", "_tiles").distinct(), "_gram")
+        spread.join(sent(looked_up.select("_gram", "_tiles").distinct()), "_gram")
         .where("instr(_body, _gram) = _place")
         .select(*told.columns, "_gram", F.pmod(F.xxhash64("_text"), F.col("_tiles")).alias("_tile"))
         .repartition(tasks, "_gram", "_tile")

@@ -114,3 +114,26 @@ def test_a_long_part_far_into_a_pattern(spark):
     texts = spark.createDataFrame([(1, "a-b-c-efghi"), (2, "a-b-c-efgh")], "i int, body string")
     patterns = spark.createDataFrame([(1, "%a%b%c%EFGHI%")], "j int, pat string")
     assert [row.i for row in match_patterns(texts, "body", patterns, "pat").collect()] == [1]
+
+
+@pytest.mark.parametrize("sent", [0, 100_000])
+def test_substrings_of_texts_are_looked_up_before_they_are_shuffled(spark, monkeypatch, sent):
+    monkeypatch.setattr("tallyhouse.operators.patterns.SENT", sent, raising=False)
+    texts = spark.range(500).select("id", F.concat(F.lit("Item no. "), F.col("id").cast("string")).alias("body"))
+    patterns = spark.range(50).select(F.col("id").alias("n"), F.concat(F.lit("%no. "), F.col("id").cast("string")).alias("pat"))
+    kind, plans = type(texts), {}
+    checkpoint = kind.checkpoint
+
+    def recorded(df, *args):
+        plans[tuple(df.columns)] = df._jdf.queryExecution().executedPlan().toString()
+        return checkpoint(df, *args)
+
+    monkeypatch.setattr(kind, "checkpoint", recorded)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = match_patterns(texts, "body", patterns, "pat")
+        assert ("BroadcastHashJoin [_gram" in plans["id", "body", "_pattern", "_text"]) == (sent > 0)
+        assert got.count() == 50 and got.where("id <> n").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
